@@ -92,8 +92,8 @@ class Graph:
         """Write both tables to the checkpoint folder, so that later runs skip deriving them."""
         from weftgraph.operators.runtime import cut
 
-        edges = cut(self.edges)
-        return replace(self, vertices=cut(self.vertices), edges=edges)
+        with self.held():
+            return replace(self, vertices=cut(self.vertices), edges=cut(self.edges))
 
     @contextmanager
     def held(self) -> Iterator[Graph]:
