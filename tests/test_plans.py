@@ -1,0 +1,37 @@
+"""Physical plans: what a round shuffles, and what reaches the scan."""
+
+from pyspark.sql import functions as F
+
+from weftgraph import Graph
+from weftgraph.functions import reduced_by
+from weftgraph.operators.layout import arranged
+from weftgraph.operators.runtime import cut
+from weftgraph.sources.tables import copurchase_edges
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_round_shuffles_its_messages_only(spark):
+    edges = spark.range(200_000).select((F.col("id") % 997).alias("src"), (F.col("id") % 1009).alias("dst"))
+    with arranged(Graph.from_edges(edges)) as layout:
+        assert layout.partitions > 1
+        state = spark.range(1009).select("id", F.col("id").alias("label"))
+        state = cut(state.repartition(layout.partitions, "id").sortWithinPartitions("id"))
+        sent = layout.send(state.select(F.col("id").alias("src"), "label"), F.col("label"))
+        text = plan(state.join(reduced_by(F.min)(sent), "id", "left"))
+    loop, cached = text.split("InMemoryRelation", 1)[0], text
+    assert cached.count("SortMergeJoin") == 2 and "Broadcast" not in text
+    # One exchange of partial minima; the other one is the layout's own, inside the cached relation.
+    assert loop.count("Exchange") == 1 and "partial_min" in loop
+    assert text.count("Sort [") == 2
+
+
+def test_table_graph_reads_four_columns_and_pushes_its_filter(spark, tmp_path):
+    lines = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_comment string"
+    spark.createDataFrame([(1, 1, 5, 50.0, "x"), (1, 2, 6, 47.0, "y")], lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    frame = copurchase_edges(spark, str(tmp_path), 45)
+    assert [tuple(r) for r in frame.collect()] == [(5, 6, 4.0)]
+    text = plan(frame)
+    assert "l_comment" not in text and "GreaterThanOrEqual(l_quantity,45.0)" in text

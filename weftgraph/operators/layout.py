@@ -28,8 +28,7 @@ class Layout:
     least_weight: float | None
 
     def send(self, senders: DataFrame, message: Column) -> DataFrame:
-        """One ``(id, msg)`` row per edge leaving a sender; ``senders`` has ``id`` and the state columns."""
-        senders = senders.withColumnRenamed("id", "src")
+        """One ``(id, msg)`` row per edge leaving a sender; ``senders`` has ``src`` and the state columns."""
         sent = self.cold.join(senders, "src").select(F.col("dst").alias("id"), message.alias("msg"))
         if self.hot is None:
             return sent

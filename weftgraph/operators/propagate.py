@@ -50,7 +50,7 @@ def propagate(
     """
     if direction not in ("out", "all"):
         raise ValueError(f"direction must be 'out' or 'all', not {direction!r}")
-    if "weight" in state.columns or _RESERVED & set(state.columns):
+    if _RESERVED & set(state.columns):
         raise ValueError(f"state columns may not be named {sorted(_RESERVED)}")
     with arranged(graph, undirected=direction == "all", weighted=graph.weighted) as layout:
         return iterate(layout, state, message, combine, update, senders, totals, max_iterations)
@@ -82,15 +82,15 @@ def iterate(
         number += 1
         step = Superstep(number, seen)
         sending = state if senders is None else state.where("_changed")
-        sent = layout.send(sending.drop("_changed"), message(step) if callable(message) else message)
+        sent = layout.send(
+            sending.select(F.col("id").alias("src"), *columns), message(step) if callable(message) else message
+        )
         new = update(step) if callable(update) else update
         changed = F.lit(False)
         for name, value in new.items():
             changed = changed | ~F.col(name).eqNullSafe(value)
-        state = (
-            state.drop("_changed")
-            .join(combine(sent), "id", "left")
-            .select("id", *[new.get(c, F.col(c)).alias(c) for c in columns], changed.alias("_changed"))
+        state = state.join(combine(sent), "id", "left").select(
+            "id", *[new.get(c, F.col(c)).alias(c) for c in columns], changed.alias("_changed")
         )
         watch = Observation()
         state = cut(state, watch, _changed=F.count_if("_changed"), **totals)

@@ -54,21 +54,19 @@ def _hook_and_jump(layout: Layout, vertices: DataFrame) -> DataFrame:
         state = cut(_jump(state, seen["vertices"], layout.partitions))
 
 
-def _lower(state: DataFrame, offer: str, changed: Column) -> DataFrame:
-    better = F.coalesce(F.col(offer) < F.col("component"), F.lit(False))
+def _lower(state: DataFrame, offer: Column, changed: Column) -> DataFrame:
+    better = F.coalesce(offer < F.col("component"), F.lit(False))
     return state.select("id", F.least("component", offer).alias("component"), (changed | better).alias("_changed"))
 
 
 def _hook(layout: Layout, state: DataFrame) -> DataFrame:
     smallest = reduced_by(F.min)
-    old = state.select("id", "component")
-    sent = layout.send(state.where("_changed").select("id", "component"), F.col("component"))
-    near = old.join(smallest(sent), "id", "left")
+    sent = layout.send(state.where("_changed").select(F.col("id").alias("src"), "component"), F.col("component"))
+    near = state.join(smallest(sent), "id", "left")
     better = near.where(F.col("msg") < F.col("component"))
     # Pre-aggregated per task: a label held by most vertices costs one row per task.
     named = better.groupBy(F.col("component").alias("id")).agg(F.min("msg").alias("named"))
-    joined = near.join(named, "id", "left").withColumn("msg", F.least("msg", "named"))
-    return _lower(joined, "msg", F.lit(False))
+    return _lower(near.join(named, "id", "left"), F.least("msg", "named"), F.lit(False))
 
 
 def _jump(state: DataFrame, vertices: int, partitions: int) -> DataFrame:
@@ -84,4 +82,4 @@ def _jump(state: DataFrame, vertices: int, partitions: int) -> DataFrame:
         hot = cut(frequent.select("component"))
     found = skew.keyed_join(open_rows, labels, "component", hot)
     moved = found.where(F.col("jumped") < F.col("component")).select("id", "jumped")
-    return _lower(state.join(moved, "id", "left"), "jumped", F.col("_changed"))
+    return _lower(state.join(moved, "id", "left"), F.col("jumped"), F.col("_changed"))
