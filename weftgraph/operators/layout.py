@@ -16,8 +16,8 @@ from weftgraph.operators import runtime, skew
 @dataclass(frozen=True)
 class Layout:
     """``cold`` edges are partitioned and sorted by ``src`` like the state is by ``id``, so they join in
-    place. Edges of the few ``hot`` sources lie spread by (src, dst) and meet a broadcast of those
-    sources' state.
+    place. Edges of the few ``hot`` sources are dealt out evenly and meet a broadcast of those sources'
+    state.
     """
 
     cold: DataFrame
@@ -59,7 +59,7 @@ def arranged(graph: Graph, *, undirected: bool = False, weighted: bool = False)
             if most > limit:
                 hot = runtime.cut(per_source.where(F.col("rows") > limit).select("src"))
                 cold = edges.join(F.broadcast(hot), "src", "left_anti")
-                spread = edges.join(F.broadcast(hot), "src", "left_semi").repartition(partitions, "src", "dst")
+                spread = edges.join(F.broadcast(hot), "src", "left_semi").repartition(partitions)
                 spread.persist(StorageLevel.MEMORY_AND_DISK)
             cold = cold.repartition(partitions, "src").sortWithinPartitions("src")
             cold.persist(StorageLevel.MEMORY_AND_DISK)

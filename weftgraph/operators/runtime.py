@@ -39,8 +39,11 @@ def cut(frame: DataFrame, observation: Observation | None = None, **metrics) ->
 
 
 def partition_count(spark: SparkSession, rows: int) -> int:
-    """Partitions for a table of ``rows``, from its size and the cores at hand."""
-    busy = min(spark.sparkContext.defaultParallelism, -(-rows // ROWS_WORTH_A_TASK))
+    """Partitions for a table of ``rows``: enough for the cores or the session's own number, if the size is
+    worth it, and for partitions that fit an executor.
+    """
+    wanted = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    busy = min(wanted, -(-rows // ROWS_WORTH_A_TASK))
     return max(1, busy, -(-rows // ROWS_PER_PARTITION))
 
 

@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 # A key with fewer rows than this is never worth splitting.
 HOT_ROWS = 1_000_000
 # No more keys than half of this can pass the threshold below, whatever the data.
-MOST_HOT_KEYS = 4096
+MOST_HOT_KEYS = 65_536
 
 
-def hot_threshold(rows: int, partitions: int) -> int:
+def hot_threshold(rows: int, partitions: int, most: int = MOST_HOT_KEYS) -> int:
     """A key is hot above this many of ``rows``.
 
-    Twice an even share of the rows, so at most ``min(partitions, MOST_HOT_KEYS) / 2`` keys are hot.
+    Twice an even share of the rows, so at most ``min(partitions, most) / 2`` keys are hot.
     That is the proof that the set of hot keys, one row each, may be broadcast.
     """
-    return max(HOT_ROWS, 2 * rows // min(partitions, MOST_HOT_KEYS))
+    return max(HOT_ROWS, 2 * rows // min(partitions, most))
 
 
 def keyed_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:

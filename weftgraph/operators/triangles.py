@@ -14,6 +14,9 @@ from weftgraph.operators import runtime, skew
 
 # Neighbours compared at a time; longer lists travel in pieces of this many.
 PIECE = 4096
+# No more vertices than half of this are treated as hubs, so that their lists, which hold hubs only, stay
+# below MOST_HUBS ** 2 / 8 entries together, 16 MB.
+MOST_HUBS = 4096
 
 # What may be asked of a link from a lower vertex to a higher one.
 _KINDS = {
@@ -61,12 +64,12 @@ def closed(graph: Graph, kinds: Sequence[str] = ()) -> Iterator[Closed]:
     try:
         ends, most = degrees.agg(F.sum("degree"), F.max("degree")).first()
         partitions = runtime.partition_count(spark, ends or 0)
-        limit = skew.hot_threshold(ends or 0, partitions)
+        limit = skew.hot_threshold(ends or 0, partitions, MOST_HUBS)
         hot = None
         if (most or 0) > limit:
             hot = runtime.cut(degrees.where(F.col("degree") > limit).select("id"))
         with runtime.settings(spark, {"spark.sql.shuffle.partitions": partitions}):
-            yield Closed(degrees, _common(_lists(pairs, degrees, hot), hot, kinds))
+            yield Closed(degrees, _common(_lists(pairs, degrees, hot, kinds), hot, kinds))
     finally:
         pairs.unpersist()
         degrees.unpersist()
@@ -76,8 +79,10 @@ def _named(hot: DataFrame | None, key: str) -> DataFrame | None:
     return None if hot is None else hot.select(F.col("id").alias(key))
 
 
-def _lists(pairs: DataFrame, degrees: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """``(u, higher)``: per vertex its links to higher neighbours, in rising order of those."""
+def _lists(pairs: DataFrame, degrees: DataFrame, hot: DataFrame | None, kinds: Sequence[str]) -> DataFrame:
+    """``(u, higher, list, list_<kind>...)``: per vertex its links to higher neighbours in rising order of
+    those, the ids of all of them and the ids of those linked in each way.
+    """
     for end in ("a", "b"):
         table = degrees.select(F.col("id").alias(end), F.col("degree").alias(f"degree_{end}"))
         pairs = skew.keyed_join(pairs, table, end, _named(hot, end))
@@ -93,27 +98,31 @@ def _lists(pairs: DataFrame, degrees: DataFrame, hot: DataFrame | None) -> DataF
         .otherwise(link("degree_a", "a", "b_to_a", "a_to_b"))
         .alias("link"),
     )
-    return turned.groupBy("u").agg(F.sort_array(F.collect_list("link")).alias("higher"))
-
-
-def _ids(links: str, prefix: str, kinds: Sequence[str]) -> list[Column]:
-    """The ids of a list of links, and for each kind the ids of the links of that kind."""
-    named = [F.col(links)["id"].alias(prefix)]
-    return named + [F.filter(links, _KINDS[kind])["id"].alias(f"{prefix}_{kind}") for kind in kinds]
+    lists = turned.groupBy("u").agg(F.sort_array(F.collect_list("link")).alias("higher"))
+    chosen = [F.filter("higher", _KINDS[kind])["id"].alias(f"list_{kind}") for kind in kinds]
+    return lists.select("u", "higher", F.col("higher.id").alias("list"), *chosen)
 
 
 def _common(lists: DataFrame, hot: DataFrame | None, kinds: Sequence[str]) -> DataFrame:
+    of_kind = [f"list_{kind}" for kind in kinds]
     # For the pair u-v only what comes after v in u's list can be above both.
     after = F.col("at") + 2
     pieces = (
-        lists.select("u", "higher", F.posexplode("higher").alias("at", "link"))
-        .where(after <= F.size("higher"))
-        .select("u", "higher", "link", F.explode(F.sequence(after, F.size("higher"), F.lit(PIECE))).alias("start"))
-        .select("u", "link", F.slice("higher", F.col("start"), F.lit(PIECE)).alias("piece"))
-        .select("u", F.col("link.id").alias("v"), "link.out", "link.back", *_ids("piece", "piece", kinds))
+        lists.select("u", "list", *of_kind, F.posexplode("higher").alias("at", "link"))
+        .where(after <= F.size("list"))
+        .withColumn("start", F.explode(F.sequence(after, F.size("list"), F.lit(PIECE))))
+        .select("u", "link", F.slice("list", F.col("start"), F.lit(PIECE)).alias("piece"), *of_kind)
+        .select(
+            "u",
+            F.col("link.id").alias("v"),
+            "link.out",
+            "link.back",
+            "piece",
+            *[F.array_intersect("piece", f"list_{kind}").alias(f"piece_{kind}") for kind in kinds],
+        )
     )
     # A hub has few higher vertices, all of them hubs, so the lists of the hot ones are short too.
-    table = lists.select(F.col("u").alias("v"), *_ids("higher", "list", kinds))
+    table = lists.select(F.col("u").alias("v"), "list", *of_kind)
     return (
         skew.keyed_join(pieces, table, "v", _named(hot, "v"))
         .withColumn("third", F.array_intersect("piece", "list"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from weftgraph.functions.combine import reduced_by
 from weftgraph.graph import Graph
 from weftgraph.operators.degrees import out_degree
 from weftgraph.operators.layout import arranged
 from weftgraph.operators.propagate import Superstep, iterate
+from weftgraph.operators.runtime import cut
 
 
 def pagerank(graph: Graph, iterations: int, damping: float = 0.85) -> DataFrame:
@@ -17,9 +18,10 @@ def pagerank(graph: Graph, iterations: int, damping: float = 0.85) -> DataFrame:
     Parallel edges count each, in the degree and in what is passed on.
     """
     with arranged(graph) as layout:
-        size = graph.vertices.count()
-        degrees = out_degree(graph).select("id", F.col("degree").alias("links"))
-        state = degrees.withColumn("rank", F.lit(1.0) / F.lit(float(max(size, 1))))
+        watch = Observation()
+        links = cut(out_degree(graph).withColumnRenamed("degree", "links"), watch, size=F.count(F.lit(1)))
+        size = watch.get["size"]
+        state = links.withColumn("rank", F.lit(1.0 / max(size, 1)))
 
         def update(step: Superstep):
             shared = (1.0 - damping) / size + damping / size * step.totals["dangling"]
