@@ -29,6 +29,8 @@ def session(cpus: str) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", cpus)
+        # Python call sites of columns, kept for error messages, cost a few calls per column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if "BENCH_CHECKPOINT_DIR" in os.environ:
