@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, NumericType
 from pyspark.storagelevel import StorageLevel
 
+from weftgraph.operators.runtime import cut, hold
+
 
 @dataclass(frozen=True)
 class Graph:
@@ -90,8 +92,6 @@ class Graph:
 
     def checkpoint(self) -> Graph:
         """Write both tables to the checkpoint folder, so that later runs skip deriving them."""
-        from weftgraph.operators.runtime import cut
-
         with self.held():
             return replace(self, vertices=cut(self.vertices), edges=cut(self.edges))
 
@@ -100,7 +100,7 @@ class Graph:
         """Keep the edge table cached while the block runs, unless the caller has cached it."""
         ours = self.edges.storageLevel == StorageLevel.NONE
         if ours:
-            self.edges.persist(StorageLevel.MEMORY_AND_DISK)
+            hold(self.edges)
         try:
             yield self
         finally:

@@ -7,12 +7,14 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.storagelevel import StorageLevel
 
 # One task's share of the edges: large enough to keep task counts and shuffle maps in hand on very
 # large graphs, small enough to sort and cache within an executor.
 ROWS_PER_PARTITION = 16_000_000
-# Below this many rows another task costs more than it saves.
+# Below this many rows another task costs more than it saves, on an idle core and on a busy one.
 ROWS_WORTH_A_TASK = 50_000
+ROWS_WORTH_A_WAIT = 1_000_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -38,13 +40,19 @@ def cut(frame: DataFrame, observation: Observation | None = None, **metrics) ->
     return frame.checkpoint(eager=True)
 
 
+def hold(frame: DataFrame) -> DataFrame:
+    """Cache a table, in as many partitions as its size calls for at run time."""
+    with settings(frame.sparkSession, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}):
+        return frame.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def partition_count(spark: SparkSession, rows: int) -> int:
-    """Partitions for a table of ``rows``: enough for the cores or the session's own number, if the size is
-    worth it, and for partitions that fit an executor.
+    """Partitions for a table of ``rows``: one per core, or the session's number of shuffle partitions, as
+    far as the size is worth it; more if they would not fit an executor.
     """
-    wanted = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    busy = min(wanted, -(-rows // ROWS_WORTH_A_TASK))
-    return max(1, busy, -(-rows // ROWS_PER_PARTITION))
+    idle = min(spark.sparkContext.defaultParallelism, -(-rows // ROWS_WORTH_A_TASK))
+    asked = min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_WORTH_A_WAIT)
+    return max(1, idle, asked, -(-rows // ROWS_PER_PARTITION))
 
 
 @contextmanager

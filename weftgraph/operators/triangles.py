@@ -7,7 +7,6 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from weftgraph.graph import Graph
 from weftgraph.operators import runtime, skew
@@ -49,17 +48,13 @@ def closed(graph: Graph, kinds: Sequence[str] = ()) -> Iterator[Closed]:
     """
     spark = graph.edges.sparkSession
     rising = F.col("src") < F.col("dst")
-    pairs = (
+    pairs = runtime.hold(
         graph.edges.where(F.col("src") != F.col("dst"))
         .groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
         .agg(F.max(rising).alias("a_to_b"), F.max(~rising).alias("b_to_a"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    degrees = (
-        pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("degree"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    degrees = runtime.hold(
+        pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
     )
     try:
         ends, most = degrees.agg(F.sum("degree"), F.max("degree")).first()
