@@ -61,6 +61,12 @@ def test_negative_weights_need_a_limit(spark):
     assert values(sssp(graph, 1, max_iterations=3)) == {1: -2.0, 2: -3.0}
 
 
+def test_infinite_and_undefined_weights_lead_nowhere(spark):
+    inf, nan = float("inf"), float("nan")
+    graph = graph_of(spark, [(1, 2, inf), (1, 3, nan), (3, 4, 1.0), (1, 5, 2.0)])
+    assert values(sssp(graph, 1, unreachable=-1.0)) == {1: 0.0, 2: -1.0, 3: -1.0, 4: -1.0, 5: 2.0}
+
+
 def test_distances_need_weights(spark):
     with pytest.raises(ValueError, match="weighted"):
         sssp(graph_of(spark, [(1, 2)]), 1)

@@ -54,6 +54,8 @@ def sssp(
     if not graph.weighted:
         raise ValueError("shortest paths need a weighted graph; name the column with weight=")
     found = F.when(F.col("id") == F.lit(source), F.lit(0.0))
+    # An edge of infinite or undefined weight leads nowhere; NaN sorts above infinity.
+    finite = F.when(F.col("msg") < F.lit(UNREACHED_DISTANCE), F.col("msg"))
     state = graph.vertices.select("id", found.alias("distance"))
     with arranged(graph, weighted=True) as layout:
         if max_iterations is None and layout.least_weight is not None and layout.least_weight < 0:
@@ -63,7 +65,7 @@ def sssp(
             state,
             message=F.col("distance") + F.col("weight"),
             combine=reduced_by(F.min),
-            update={"distance": F.least("distance", "msg")},
+            update={"distance": F.least("distance", finite)},
             senders=F.col("distance").isNotNull(),
             max_iterations=max_iterations,
         )
