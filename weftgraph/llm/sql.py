@@ -25,3 +25,41 @@ its as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item)
 select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
   sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hit using (doc_id) left join its using (doc_id)"""
+
+MIX = r"""
+with d as materialized (
+  select doc_id, source, md5(doc_id::varchar || ':mix') as k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size from documents),
+s as (
+  select source, sum(size)::bigint as n, (row_number() over (order by source nulls last) - 1) % 3 + 1 as w
+  from d group by source),
+o as materialized (
+  select *, 3 * n as cap, row_number() over (order by 3.0::double * n / w, source nulls last) as r, sum(n) over () as total from s),
+c as materialized (
+  select *, coalesce(sum(cap) over (order by r rows between unbounded preceding and 1 preceding), 0)::bigint as capped,
+    sum(w) over (order by r rows between current row and unbounded following)::bigint as rest from o),
+l as (select (total - capped)::double / rest as share from c where (total - capped)::double / rest * w <= cap order by r limit 1),
+t as (select source, n, case when share * w > cap then cap::double else share * w end as target from o, l),
+p as (
+  select d.*, t.n, t.target, coalesce(sum(size) over (
+    partition by d.source order by k, doc_id rows between unbounded preceding and 1 preceding), 0) as start
+  from d join t on d.source is not distinct from t.source)
+select doc_id, size, n as source_size, target, (
+  greatest(0, least(size, floor(target) - start)) + greatest(0, least(size, floor(target) - n - start))
+  + greatest(0, least(size, floor(target) - 2 * n - start)))::bigint as taken
+from p"""
+
+_ESCAPED = "replace({}, '\\', '\\\\')"
+for _control in ("[INST]", "[/INST]", "<s>", "</s>", "<|", "<<SYS>>", "<</SYS>>"):
+    _ESCAPED = f"replace({_ESCAPED}, '{_control}', '{_control[0]}\\{_control[1:]}')"
+
+FORMAT_CHAT = f"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(17 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}))::bigint as formatted_chars
+from t group by conv_id"""
