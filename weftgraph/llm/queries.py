@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.llm import chat, mixing, sql
+from weftgraph.llm import chat, mixing, simhash, sql
 from weftgraph.llm.decontaminate import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,10 +67,17 @@ def format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bits = F.lower(F.lpad(F.hex("_fingerprint"), 16, "0"))
+    found = simhash.near_groups(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", bits.alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": decontaminate,
     "op2_mix": mix,
     "op3_format_chat": format_chat,
+    "op9_simhash": simhash_groups,
 }
 
 ORACLE_SQL: dict[str, str] = {
