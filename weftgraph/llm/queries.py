@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.llm import chat, mixing, simhash, sql
+from weftgraph.llm import chat, lines, mixing, simhash, sql
 from weftgraph.llm.decontaminate import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,13 @@ def format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drop_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_repeated_lines(docs, deleted="n_deleted").select(
+        "doc_id", "text", F.col("n_deleted").cast("long").alias("n_deleted")
+    )
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     bits = F.lower(F.lpad(F.hex("_fingerprint"), 16, "0"))
     found = simhash.near_groups(_table(spark, sf_dir, "documents"))
@@ -77,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontaminate": decontaminate,
     "op2_mix": mix,
     "op3_format_chat": format_chat,
+    "op7_line_dedup": drop_repeated_lines,
     "op9_simhash": simhash_groups,
 }
 
@@ -84,4 +92,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": sql.DECONTAMINATE,
     "op2_mix": sql.MIX,
     "op3_format_chat": sql.FORMAT_CHAT,
+    "op7_line_dedup": sql.LINE_DEDUP,
 }

@@ -63,3 +63,31 @@ select conv_id, count(*)::bigint as n_turns,
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(17 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}))::bigint as formatted_chars
 from t group by conv_id"""
+
+LINE_DEDUP = r"""
+with l as materialized (
+  select doc_id, unnest(generate_series(1, len(ls))) as i, unnest(ls) as line
+  from (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null)),
+c as materialized (
+  select *, len(regexp_extract_all(line, '\S+')) as n, count(*) filter (where regexp_matches(line, '\S'))
+    over (partition by doc_id order by i) as u from l),
+u as materialized (
+  select doc_id, u, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line,
+    sum(n) over (partition by doc_id order by u) as upto,
+    sum(n) over (partition by doc_id order by u) - n as before from c where n > 0),
+w as (
+  select a.doc_id, a.u as a, min(b.u) as b from u a join u b on a.doc_id = b.doc_id and b.upto >= a.before + 50 and b.u >= a.u
+  group by all
+  union
+  select b.doc_id, max(a.u), b.u from u a join u b on a.doc_id = b.doc_id and b.upto >= a.before + 50 and b.u >= a.u
+  group by b.doc_id, b.u),
+r as materialized (
+  select w.doc_id, w.a, w.b, string_agg(u.line, chr(10) order by u.u) as run
+  from w join u on u.doc_id = w.doc_id and u.u between w.a and w.b group by all),
+k as (select *, row_number() over (partition by run order by doc_id, a) as copy from r),
+g as (select distinct doc_id, unnest(generate_series(a, b)) as u from k where copy > 1),
+t as (
+  select c.doc_id, string_agg(line, chr(10) order by i) filter (where g.u is null) as text, count(g.u) as n_deleted
+  from c left join g on g.doc_id = c.doc_id and g.u = c.u group by c.doc_id)
+select doc_id, case when d.text is not null then coalesce(t.text, '') end as text, coalesce(n_deleted, 0)::bigint as n_deleted
+from documents d left join t using (doc_id)"""
