@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.llm import chat, lines, mixing, simhash, sql
+from weftgraph.llm import chat, lines, mixing, simhash, sql, toxicity
 from weftgraph.llm.decontaminate import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,17 @@ def format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def drop_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.drop_repeated_lines(docs, deleted="n_deleted").select(
@@ -84,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontaminate": decontaminate,
     "op2_mix": mix,
     "op3_format_chat": format_chat,
+    "op4_toxicity": toxicity_scores,
     "op7_line_dedup": drop_repeated_lines,
     "op9_simhash": simhash_groups,
 }
