@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.llm import chat, lines, mixing, simhash, sql, toxicity
+from weftgraph.llm import chat, language, lines, mixing, simhash, sql, toxicity
 from weftgraph.llm.decontaminate import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,12 @@ def drop_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.predict(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     bits = F.lower(F.lpad(F.hex("_fingerprint"), 16, "0"))
     found = simhash.near_groups(_table(spark, sf_dir, "documents"))
@@ -97,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op3_format_chat": format_chat,
     "op4_toxicity": toxicity_scores,
     "op7_line_dedup": drop_repeated_lines,
+    "op8_language": languages,
     "op9_simhash": simhash_groups,
 }
 
