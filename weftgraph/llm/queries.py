@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.llm import chat, language, lines, mixing, simhash, sql, toxicity
+from weftgraph.llm import chat, language, lines, mixing, pages, simhash, sql, toxicity
 from weftgraph.llm.decontaminate import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,11 @@ def drop_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = language.predict(docs.select("doc_id", "text"), language.fit(docs))
@@ -102,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op2_mix": mix,
     "op3_format_chat": format_chat,
     "op4_toxicity": toxicity_scores,
+    "op5_page_text": page_texts,
     "op7_line_dedup": drop_repeated_lines,
     "op8_language": languages,
     "op9_simhash": simhash_groups,
