@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.llm import chat, language, lines, mixing, pages, simhash, sql, toxicity
+from weftgraph.llm import chat, language, lines, mixing, pages, simhash, sql, toxicity, vectors
 from weftgraph.llm.decontaminate import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,10 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", bits.alias("fingerprint"), "component_id")
 
 
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": decontaminate,
     "op2_mix": mix,
@@ -111,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op7_line_dedup": drop_repeated_lines,
     "op8_language": languages,
     "op9_simhash": simhash_groups,
+    "op10_vectors": near_vectors,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -118,4 +123,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_mix": sql.MIX,
     "op3_format_chat": sql.FORMAT_CHAT,
     "op7_line_dedup": sql.LINE_DEDUP,
+    "op10_vectors": sql.VECTORS,
 }

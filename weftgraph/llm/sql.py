@@ -91,3 +91,19 @@ t as (
   from c left join g on g.doc_id = c.doc_id and g.u = c.u group by c.doc_id)
 select doc_id, case when d.text is not null then coalesce(t.text, '') end as text, coalesce(n_deleted, 0)::bigint as n_deleted
 from documents d left join t using (doc_id)"""
+
+VECTORS = """
+with recursive e as materialized (
+  select vec_id, embedding::double[] as x, label from embeddings where label is not null and embedding is not null
+    and len(embedding) > 0 and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+    and len(list_filter(embedding, lambda c: c <> 0)) > 0),
+s as materialized (
+  select a.vec_id as a, b.vec_id as b from e a join e b on a.label = b.label and len(a.x) = len(b.x) and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.x, b.x) >= 0.93),
+r(id, label) using key (id) as (
+  select vec_id, vec_id from embeddings
+  union
+  select s.b, min(r.label) from r join s on r.id = s.a join recurring.r k on k.id = s.b
+  group by s.b, k.label having min(r.label) < k.label)
+select v.vec_id, coalesce(n, 0)::bigint as n_links, r.label as component_id, v.vec_id = r.label as kept
+from embeddings v join r on r.id = v.vec_id left join (select a, count(*) as n from s group by a) on a = v.vec_id"""
