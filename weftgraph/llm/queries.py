@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.llm import chat, language, lines, mixing, pages, simhash, sql, toxicity, vectors
+from weftgraph.llm import chat, language, licences, lines, mixing, pages, simhash, sql, toxicity, vectors
 from weftgraph.llm.decontaminate import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,13 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs, licences.fit(docs)).select(
+        "doc_id", "n_notices", F.array_join("families", ",").alias("families"), "score"
+    )
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = language.predict(docs.select("doc_id", "text"), language.fit(docs))
@@ -112,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op3_format_chat": format_chat,
     "op4_toxicity": toxicity_scores,
     "op5_page_text": page_texts,
+    "op6_licences": licence_scan,
     "op7_line_dedup": drop_repeated_lines,
     "op8_language": languages,
     "op9_simhash": simhash_groups,
