@@ -61,7 +61,7 @@ def main() -> None:
         timed(name, lambda: query().write.format("noop").mode("overwrite").save())
 
     graphs = {}
-    for kind, directed in (("bulk", True), ("bulk", False), ("copurchase", True), ("copurchase", False)):
+    for kind, directed in (("order_lines", True), ("order_lines", False), ("copurchase", True), ("copurchase", False)):
         name = f"{kind}_{'directed' if directed else 'undirected'}"
         graphs[name] = timed(f"load_{name}", lambda: GRAPHS[kind](spark, sf_dir, directed).checkpoint())
     for name, graph in graphs.items():

@@ -3,26 +3,24 @@
 from __future__ import annotations
 
 REACH = 6
-BULK = 45
 
-
-def _copurchase(where: str = "") -> str:
-    return f"""
-lines as (
-  select l_orderkey as o, l_linenumber as n, min(l_partkey) as part, max(l_quantity) as q
-  from lineitem {where} group by all),
+_COPURCHASE = f"""
 e as materialized (
-  select x.part as src, y.part as dst, min(abs(x.q - y.q)) + 1 as weight
-  from lines x join lines y on x.o = y.o and y.n between x.n + 1 and x.n + {REACH}
-  where x.part <> y.part group by all)"""
-
+  select x.l_partkey as src, y.l_partkey as dst, min(abs(x.l_quantity - y.l_quantity)) + 1 as weight
+  from lineitem x join lineitem y
+    on x.l_orderkey = y.l_orderkey and y.l_linenumber between x.l_linenumber + 1 and x.l_linenumber + {REACH}
+  where x.l_partkey <> y.l_partkey group by all)"""
 
 _ENDS = "v as materialized (select src as id from e union select dst from e)"
 _EDGES = {
-    "copurchase": _copurchase() + ", " + _ENDS,
-    "bulk": _copurchase(f"where l_quantity >= {BULK}") + ", " + _ENDS,
-    "bulk_all_parts": _copurchase(f"where l_quantity >= {BULK}")
+    "copurchase": _COPURCHASE + ", " + _ENDS,
+    "copurchase_all_parts": _COPURCHASE
     + ", v as materialized (select p_partkey as id from part union select src from e union select dst from e)",
+    "order_lines": """
+l as (select l_orderkey * 1048576 + l_linenumber as id, l_quantity as q from lineitem),
+e as materialized (
+  select x.id as src, y.id as dst, min(abs(x.q - y.q)) + 1 as weight from l x join l y on y.id = x.id + 1 group by all),
+v as materialized (select distinct id from l)""",
     "supplier_part": """
 e as materialized (
   select distinct 2 * l_suppkey + 1 as src, 2 * l_partkey as dst, 1.0::double as weight from lineitem), """
@@ -66,6 +64,27 @@ r(id, d) using key (id) as (
 select v.id, coalesce(r.d, -1)::{kind} as {column} from v left join r using (id)"""
 
 
+def near_distances(name: str, directed: bool, rounds: int) -> str:
+    """Least sums of weights over paths of at most ``rounds`` edges from the busiest vertex."""
+    steps = f"d0 as (select id, 0.0::double as d from v where id = {_SOURCE})"
+    for i in range(rounds):
+        steps += f""",
+d{i + 1} as materialized (select id, min(d) as d from (
+  select * from d{i} union all select g.dst, d + g.weight from d{i} r join g on g.src = r.id) group by id)"""
+    return f"""with {graph(name, directed)}, {steps}
+select v.id, coalesce(d, -1)::double as distance from v left join d{rounds} using (id)"""
+
+
+def near_components(name: str, directed: bool, rounds: int) -> str:
+    """The smallest id within ``rounds`` edges, directions ignored."""
+    steps = "c0 as (select id, id as label from v)"
+    for i in range(rounds):
+        steps += f""",
+c{i + 1} as materialized (select id, min(label) as label from (
+  select * from c{i} union all select s.dst, label from c{i} c join s on s.src = c.id) group by id)"""
+    return f"with {graph(name, directed)}, {steps} select id, label as component from c{rounds}"
+
+
 def components(name: str, directed: bool) -> str:
     return f"""with recursive {graph(name, directed)},
 r(id, label) using key (id) as (

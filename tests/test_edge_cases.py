@@ -3,6 +3,7 @@
 import pytest
 
 from weftgraph import Graph, bfs, cdlp, lcc, pagerank, sssp, wcc
+from weftgraph.sources.tables import busiest_source
 from weftgraph.plans.distances import UNREACHED_DISTANCE, UNREACHED_HOPS
 
 
@@ -108,6 +109,23 @@ def test_missing_ids_and_weights_fail(spark):
         Graph.from_edges(frame).edges.collect()
 
 
+def test_fractional_ids_fail(spark):
+    whole = spark.createDataFrame([(1.0, 2.0)], "src double, dst double")
+    assert [tuple(r) for r in Graph.from_edges(whole).edges.collect()] == [(1, 2)]
+    texts = spark.createDataFrame([("1", " 2")], "src string, dst string")
+    assert [tuple(r) for r in Graph.from_edges(texts).edges.collect()] == [(1, 2)]
+    for kind, wrong in (("double", 1.2), ("double", float("nan")), ("double", 1e30), ("string", "1.7"), ("string", "x")):
+        with pytest.raises(Exception, match="no whole number"):
+            Graph.from_edges(spark.createDataFrame([(wrong, wrong)], f"src {kind}, dst {kind}")).edges.collect()
+    with pytest.raises(ValueError, match="whole numbers"):
+        Graph.from_edges(spark.createDataFrame([(True, False)], "src boolean, dst boolean"))
+
+
+def test_busiest_source_needs_edges(spark):
+    with pytest.raises(ValueError, match="no edges"):
+        busiest_source(graph_of(spark, [], [1]))
+
+
 def test_session_settings_and_caches_are_put_back(spark):
     keys = ["spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"]
     before = [spark.conf.get(k) for k in keys]

@@ -37,6 +37,8 @@ def test_transforms(graph):
     assert rows(graph.distinct_edges().edges) == [(1, 2), (2, 1), (2, 3), (3, 3)]
     weighted = graph.map_edges(weight=F.col("src") * 1.0)
     assert weighted.weighted and not weighted.unweighted().weighted
+    kept = weighted.map_edges(note=F.lit("n")).distinct_edges().edges
+    assert kept.columns == ["src", "dst", "weight", "note"] and kept.count() == 4
     assert rows(weighted.distinct_edges().edges) == [(1, 2, 1.0), (2, 1, 2.0), (2, 3, 2.0), (3, 3, 3.0)]
     assert rows(graph.map_vertices(label=F.col("id") * 2).vertices) == [(1, 2), (2, 4), (3, 6), (4, 8)]
 
@@ -80,6 +82,18 @@ def test_propagate_over_weights(spark):
     assert rows(widest) == [(1, 99.0), (2, 5.0), (3, 4.0)]
 
 
+def test_propagate_runs_all_rounds_where_they_differ(spark):
+    graph = Graph.from_edges(spark.createDataFrame([(1, 2), (2, 1)], "src long, dst long"))
+    state = graph.vertices.select("id", F.lit(0).alias("x"))
+    message = lambda step: F.lit(1 if step.number == 3 else 0)
+    update = {"x": F.greatest("x", "msg")}
+    assert rows(propagate(graph, state, message, reduced_by(F.max), update, max_iterations=3)) == [(1, 1), (2, 1)]
+    with pytest.raises(ValueError, match="max_iterations"):
+        propagate(graph, state, message, reduced_by(F.max), update)
+    with pytest.raises(ValueError, match="max_iterations"):
+        propagate(graph, state, F.lit(0), reduced_by(F.max), update, totals={"x": F.sum("x")})
+
+
 def test_propagate_refuses_wrong_arguments(graph):
     with pytest.raises(ValueError, match="direction"):
         propagate(graph, graph.vertices, F.col("id"), reduced_by(F.min), {}, direction="in")

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from weftgraph import Graph
+from weftgraph import Graph, bfs, cdlp, lcc, pagerank, sssp, wcc
 from weftgraph.functions import reduced_by
 from weftgraph.operators.layout import arranged
 from weftgraph.operators.runtime import cut
-from weftgraph.sources.tables import copurchase_edges
+from weftgraph.sources.tables import LINE_NUMBERS, copurchase_edges, order_lines
 
 
 def plan(frame):
@@ -28,10 +28,40 @@ def test_a_round_shuffles_its_messages_only(spark):
     assert text.count("Sort [") == 2
 
 
-def test_table_graph_reads_four_columns_and_pushes_its_filter(spark, tmp_path):
+def test_table_graph_reads_four_columns_of_all_rows(spark, tmp_path):
     lines = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_comment string"
-    spark.createDataFrame([(1, 1, 5, 50.0, "x"), (1, 2, 6, 47.0, "y")], lines).write.parquet(f"{tmp_path}/lineitem.parquet")
-    frame = copurchase_edges(spark, str(tmp_path), 45)
+    rows = [(1, 1, 5, 50.0, "x"), (1, 2, 6, 47.0, "y")]
+    spark.createDataFrame(rows, lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    frame = copurchase_edges(spark, str(tmp_path))
     assert [tuple(r) for r in frame.collect()] == [(5, 6, 4.0)]
     text = plan(frame)
-    assert "l_comment" not in text and "GreaterThanOrEqual(l_quantity,45.0)" in text
+    assert "l_comment" not in text and "IsNotNull(l_linenumber)], ReadSchema: struct<l_orderkey" in text
+
+
+def test_repeated_line_numbers_all_count(spark, tmp_path):
+    lines = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double"
+    rows = [(1, 1, 5, 50.0), (1, 1, 7, 10.0), (1, 2, 6, 47.0), (1, 2, 6, 12.0), (1, 4, 5, 1.0), (2, 1, 8, 1.0)]
+    spark.createDataFrame(rows, lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = sorted(tuple(r) for r in copurchase_edges(spark, str(tmp_path)).collect())
+    assert found == [(5, 6, 4.0), (6, 5, 12.0), (7, 5, 10.0), (7, 6, 3.0)]
+    assert sorted(tuple(r) for r in copurchase_edges(spark, str(tmp_path), 1).collect()) == [(5, 6, 4.0), (7, 6, 3.0)]
+    graph = order_lines(spark, str(tmp_path))
+    at = lambda order, line: order * LINE_NUMBERS + line
+    assert [tuple(r) for r in graph.edges.collect()] == [(at(1, 1), at(1, 2), 3.0)]
+    assert sorted(r.id for r in graph.vertices.collect()) == [at(1, 1), at(1, 2), at(1, 4), at(2, 1)]
+
+
+def test_many_vertices_with_few_edges_get_partitions(spark):
+    edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(10)], "src long, dst long, weight double")
+    graph = Graph.from_tables(spark.range(300_000), edges).checkpoint()
+    with arranged(graph) as layout:
+        assert layout.partitions > 1
+    for result in (bfs(graph, 0), sssp(graph, 0), wcc(graph), cdlp(graph, 1), pagerank(graph, 1), lcc(graph)):
+        assert result.rdd.getNumPartitions() > 1
+
+
+def test_a_loop_keeps_one_copy_of_the_edges(spark):
+    graph = Graph.from_edges(spark.range(1000).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")))
+    with arranged(graph) as layout:
+        layout.release()
+        assert len(spark.sparkContext._jsc.getPersistentRDDs()) == 1

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import LongType, NumericType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegralType, NumericType, StringType
 from pyspark.storagelevel import StorageLevel
 
 from weftgraph.operators.runtime import cut, hold
@@ -45,7 +45,7 @@ class Graph:
         there is one.
         """
         edges = _edge_table(edges, directed, src, dst, weight)
-        ids = vertices.select(_key(id).alias("id")).unionByName(_ends(edges, directed))
+        ids = vertices.select(_key(vertices, id).alias("id")).unionByName(_ends(edges, directed))
         return cls(ids.distinct(), edges, directed)
 
     @classmethod
@@ -79,16 +79,19 @@ class Graph:
         return replace(self, edges=self.edges.select("src", "dst"))
 
     def symmetrise(self) -> Graph:
-        """Add every edge reversed, keeping duplicates: a reciprocal pair is then listed twice."""
+        """Add every edge reversed, keeping duplicates: a reciprocal pair is then listed twice.
+
+        ``distinct_edges`` makes the result an undirected graph in the sense of this class.
+        """
         return replace(self, edges=both_ways(self.edges), directed=False)
 
     def distinct_edges(self) -> Graph:
-        """One row per (src, dst); of parallel edges the smallest weight stays."""
-        if self.weighted:
-            edges = self.edges.groupBy("src", "dst").agg(F.min("weight").alias("weight"))
-        else:
-            edges = self.edges.select("src", "dst").distinct()
-        return replace(self, edges=edges)
+        """One row per (src, dst), the least of parallel ones by weight and then by the other columns."""
+        rest = sorted((c for c in self.edges.columns if c not in ("src", "dst")), key=lambda c: c != "weight")
+        if not rest:
+            return replace(self, edges=self.edges.distinct())
+        least = self.edges.groupBy("src", "dst").agg(F.min(F.struct(*rest)).alias("_least"))
+        return replace(self, edges=least.select("src", "dst", "_least.*"))
 
     def checkpoint(self) -> Graph:
         """Write both tables to the checkpoint folder, so that later runs skip deriving them."""
@@ -118,13 +121,23 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(ends), *rest)
 
 
-def _key(name: str) -> Column:
-    """A vertex id. A missing one fails the job rather than vanishing in a join."""
-    return F.coalesce(F.col(name).cast(LongType()), F.raise_error(F.lit(f"null vertex id in column {name}")))
+def _key(frame: DataFrame, name: str) -> Column:
+    """A vertex id. One that is missing or no whole number fails the job rather than meeting another vertex."""
+    value, kind = F.col(name), frame.schema[name].dataType
+    if isinstance(kind, (FloatType, DoubleType, DecimalType)):
+        # try_cast gives null beyond the range of ids, and so does a fraction.
+        whole = value.try_cast("long")
+        id = F.when(whole.cast(kind) == value, whole)
+    elif isinstance(kind, (IntegralType, StringType)):
+        id = F.when(value.rlike(r"^\s*[+-]?\d+\s*$"), value.try_cast("long")) if isinstance(kind, StringType) else value.cast("long")
+    else:
+        raise ValueError(f"vertex id column {name!r} must hold whole numbers, not {kind.simpleString()}")
+    wrong = F.concat(F.lit(f"vertex id in column {name} is no whole number: "), value.cast("string"))
+    return F.coalesce(id, F.raise_error(F.coalesce(wrong, F.lit(f"null vertex id in column {name}"))))
 
 
 def _edge_table(edges: DataFrame, directed: bool, src: str, dst: str, weight: str | None) -> DataFrame:
-    columns = [_key(src).alias("src"), _key(dst).alias("dst")]
+    columns = [_key(edges, src).alias("src"), _key(edges, dst).alias("dst")]
     if weight is None and "weight" in edges.columns:
         weight = "weight"
     if weight is not None:

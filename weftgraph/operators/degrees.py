@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftgraph.graph import Graph, both_ways
 from weftgraph.operators import runtime, skew
+from weftgraph.operators.runtime import cut
 
 
 def _counted(ends: DataFrame) -> DataFrame:
@@ -66,7 +67,10 @@ def hot_vertices(counts: DataFrame, key: str) -> DataFrame | None:
 
 def transition_probabilities(graph: Graph) -> DataFrame:
     """``(src, dst, probability)``: each edge with one over the out-degree of its source."""
-    degrees = out_degree_nonzero(graph)
-    table = degrees.select(F.col("id").alias("src"), (F.lit(1.0) / F.col("degree")).alias("probability"))
-    edges = graph.edges.select("src", "dst")
-    return skew.keyed_join(edges, table, "src", hot_vertices(degrees, "src")).select("src", "dst", "probability")
+    with graph.held():
+        degrees = cut(out_degree_nonzero(graph))
+        hot = hot_vertices(degrees, "src")
+        table = degrees.select(F.col("id").alias("src"), (F.lit(1.0) / F.col("degree")).alias("probability"))
+        edges = graph.edges.select("src", "dst")
+        found = skew.keyed_join(edges, table, "src", None if hot is None else cut(hot))
+        return cut(found.select("src", "dst", "probability"))

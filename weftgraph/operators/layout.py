@@ -26,33 +26,50 @@ class Layout:
     partitions: int
     rows: int
     least_weight: float | None
+    source: DataFrame | None = None
+
+    def release(self) -> None:
+        """Let go of the edges as they came, once the state is derived from them; the laid-out ones stay."""
+        if self.source is not None and self.source.storageLevel != StorageLevel.NONE:
+            for laid in (self.cold, self.spread):
+                if laid is not None:
+                    laid.count()
+            self.source.unpersist()
 
     def send(self, senders: DataFrame, message: Column) -> DataFrame:
         """One ``(id, msg)`` row per edge leaving a sender; ``senders`` has ``src`` and the state columns."""
-        sent = self.cold.join(senders, "src").select(F.col("dst").alias("id"), message.alias("msg"))
+        sent = self.cold.join(senders, "src").select("dst", message.alias("msg"))
         if self.hot is None:
-            return sent
+            return sent.withColumnRenamed("dst", "id")
         few = F.broadcast(senders.join(F.broadcast(self.hot), "src", "left_semi"))
-        more = self.spread.join(few, "src").select(F.col("dst").alias("id"), message.alias("msg"))
-        return sent.unionByName(more)
+        more = self.spread.join(few, "src").select("dst", message.alias("msg"))
+        return sent.unionByName(more).withColumnRenamed("dst", "id")
 
 
 @contextmanager
 def arranged(graph: Graph, *, undirected: bool = False, weighted: bool = False) -> Iterator[Layout]:
     """Lay out the edges of ``graph`` and hold loop settings while the block runs.
 
-    ``undirected`` adds the reverse of each edge when the graph is directed.
+    ``undirected`` adds the reverse of each edge when the graph is directed. The number of partitions follows
+    edges and vertices, whichever are more.
     """
     spark = graph.edges.sparkSession
+    cached = graph.edges.storageLevel != StorageLevel.NONE
     with graph.held():
         edges = graph.edges.select("src", "dst", *(["weight"] if weighted else []))
         if undirected and graph.directed:
             edges = both_ways(edges)
         least = F.min("weight") if weighted else F.lit(None).cast("double")
-        per_source = edges.groupBy("src").agg(F.count(F.lit(1)).alias("rows"), least.alias("least"))
-        totals = per_source.agg(F.sum("rows"), F.max("rows"), F.min("least")).first()
+        out = edges.withColumn("edge", F.lit(1))
+        ends = graph.vertices.select(F.col("id").alias("src"), F.lit(0).alias("edge"))
+        per_source = (
+            out.unionByName(ends, allowMissingColumns=True)
+            .groupBy("src")
+            .agg(F.sum("edge").alias("rows"), least.alias("least"))
+        )
+        totals = per_source.agg(F.sum("rows"), F.max("rows"), F.min("least"), F.count(F.lit(1))).first()
         rows, most = totals[0] or 0, totals[1] or 0
-        partitions = runtime.partition_count(spark, rows)
+        partitions = runtime.partition_count(spark, max(rows, totals[3]))
         limit = skew.hot_threshold(rows, partitions)
         with runtime.loop_settings(spark, partitions):
             hot, cold, spread = None, edges, None
@@ -64,7 +81,7 @@ def arranged(graph: Graph, *, undirected: bool = False, weighted: bool = False)
             cold = cold.repartition(partitions, "src").sortWithinPartitions("src")
             cold.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                yield Layout(cold, spread, hot, partitions, rows, totals[2])
+                yield Layout(cold, spread, hot, partitions, rows, totals[2], None if cached else graph.edges)
             finally:
                 cold.unpersist()
                 if spread is not None:

@@ -37,7 +37,7 @@ def propagate(
 ) -> DataFrame:
     """Run rounds of send, combine, update over ``state(id, ...)`` and return the last state.
 
-    message: what travels along an edge, over the sender's state columns and ``weight``.
+    message: what travels along an edge, over the sender's id ``src``, its state columns and ``weight``.
     combine: reduces the ``(id, msg)`` rows of a round, see ``weftgraph.functions``.
     update: new values of state columns, over the old ones and ``msg``, which is null where nothing came.
     direction: ``out`` follows the edges, ``all`` goes both ways. An undirected graph lists both already.
@@ -46,7 +46,8 @@ def propagate(
     totals: aggregates over the whole state, offered to the next round as ``Superstep.totals``.
 
     ``message`` and ``update`` may also be functions of the ``Superstep``. Rounds end after
-    ``max_iterations``, or when no vertex changes (unless ``totals`` are in use, as they may still move).
+    ``max_iterations``, or when no vertex changes. With such a function or ``totals`` a later round may still
+    change something, so then all rounds are run and ``max_iterations`` is needed.
     """
     if direction not in ("out", "all"):
         raise ValueError(f"direction must be 'out' or 'all', not {direction!r}")
@@ -69,15 +70,19 @@ def iterate(
     """``propagate`` over edges that are laid out already."""
     columns = [c for c in state.columns if c != "id"]
     totals = dict(totals or {})
+    settles = not (totals or callable(message) or callable(update))
+    if not settles and max_iterations is None:
+        raise ValueError("set max_iterations: rounds with totals or functions of the round don't end by themselves")
     watch = Observation()
     first = F.lit(True) if senders is None else senders
     # Sorted once here; from then on every round's join hands the order on.
     state = state.withColumn("_changed", first).repartition(layout.partitions, "id").sortWithinPartitions("id")
     state = cut(state, watch, _changed=F.count_if("_changed"), **totals)
+    layout.release()
     number = 0
     while max_iterations is None or number < max_iterations:
         seen = dict(watch.get)
-        if not seen.pop("_changed") and not totals:
+        if not seen.pop("_changed") and settles:
             break
         number += 1
         step = Superstep(number, seen)

@@ -38,13 +38,13 @@ class Closed:
 
 
 @contextmanager
-def closed(graph: Graph, kinds: Sequence[str] = ()) -> Iterator[Closed]:
+def closed(graph: Graph, kinds: Sequence[str] = (), *, every_vertex: bool = False) -> Iterator[Closed]:
     """Find the triangles of ``graph``, each once, at its pair of lowest corners.
 
     Edges are turned from the lower to the higher vertex by (degree, id). Then no vertex has more than
     sqrt(2 E) edges going up, a hub least of all, and a triangle is a linked pair with a common vertex in
     both lists of higher neighbours. The lists are compared inside the join, so open paths of two edges
-    are never rows of their own.
+    are never rows of their own. ``every_vertex`` makes partitions enough for a row per vertex as well.
     """
     spark = graph.edges.sparkSession
     rising = F.col("src") < F.col("dst")
@@ -58,7 +58,8 @@ def closed(graph: Graph, kinds: Sequence[str] = ()) -> Iterator[Closed]:
     )
     try:
         ends, most = degrees.agg(F.sum("degree"), F.max("degree")).first()
-        partitions = runtime.partition_count(spark, ends or 0)
+        rows = max(ends or 0, graph.vertices.count() if every_vertex else 0)
+        partitions = runtime.partition_count(spark, rows)
         limit = skew.hot_threshold(ends or 0, partitions, MOST_HUBS)
         hot = None
         if (most or 0) > limit:

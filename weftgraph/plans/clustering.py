@@ -17,7 +17,7 @@ def lcc(graph: Graph) -> DataFrame:
     neighbours get 0. In an undirected graph both directions exist, which is the usual
     2 * triangles / (d * (d - 1)).
     """
-    with closed(graph, ("mutual",) if graph.directed else ()) as found:
+    with closed(graph, ("mutual",) if graph.directed else (), every_vertex=True) as found:
         d = F.col("degree")
         share = F.coalesce("links", F.lit(0)) / (d * (d - 1))
         return runtime.cut(

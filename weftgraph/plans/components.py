@@ -45,6 +45,7 @@ def _hook_and_jump(layout: Layout, vertices: DataFrame) -> DataFrame:
         .repartition(layout.partitions, "id")
         .sortWithinPartitions("id")
     )
+    layout.release()
     while True:
         watch = Observation()
         state = cut(_hook(layout, state), watch, changed=F.count_if("_changed"), vertices=F.count(F.lit(1)))

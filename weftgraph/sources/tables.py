@@ -1,7 +1,7 @@
 """Graphs contained in the order-processing test tables, as tables any Spark user would derive.
 
-Each reads whole tables and grows with them by a constant number of edges per row: an order is never
-paired with itself line by line, however many lines it has.
+Each reads whole tables. Lines of an order meet by exact line number only, so that edges grow with the rows as long
+as a number repeats a bounded number of times.
 """
 
 from __future__ import annotations
@@ -12,29 +12,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftgraph.graph import Graph
 
-# Lines of one order this far apart, at most, make their parts neighbours.
+# By default, lines of one order up to this many numbers apart make their parts neighbours.
 REACH = 6
-# Quantity from which a line counts as bulk.
-BULK = 45
+# Line numbers below this fit an order line's id.
+LINE_NUMBERS = 1 << 20
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def copurchase_edges(spark: SparkSession, folder: str, least_quantity: float | None = None) -> DataFrame:
-    """``(src, dst, weight)``: from the part of an order line to the parts of the next ``REACH`` lines.
+def copurchase_edges(spark: SparkSession, folder: str, reach: int = REACH) -> DataFrame:
+    """``(src, dst, weight)``: from the part of an order line to other parts on the next ``reach`` line numbers.
 
-    A line stands for its smallest part key and largest quantity, since line numbers repeat. The weight is
-    one plus the least difference in quantity. Matching by exact line number keeps the join keys unique.
+    Numbers repeat within an order and every line counts. The weight is one plus the least difference in
+    quantity over all pairs of lines. Matching by exact number keeps an order's pairs in proportion to its lines.
     """
-    lines = _table(spark, folder, "lineitem")
-    if least_quantity is not None:
-        lines = lines.where(F.col("l_quantity") >= least_quantity)
-    lines = lines.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_partkey").alias("part"), F.max("l_quantity").alias("quantity")
+    lines = (
+        _table(spark, folder, "lineitem")
+        .select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"))
+        .distinct()
     )
-    ahead = F.explode(F.sequence(F.lit(1), F.lit(REACH)))
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(reach)))
     first = lines.select("l_orderkey", F.col("part").alias("src"), F.col("quantity").alias("q"), "l_linenumber", ahead)
     first = first.select("l_orderkey", "src", "q", (F.col("l_linenumber") + F.col("col")).alias("l_linenumber"))
     second = lines.withColumnRenamed("part", "dst")
@@ -51,15 +50,33 @@ def copurchase(spark: SparkSession, folder: str, directed: bool = True) -> Graph
     return Graph.from_edges(copurchase_edges(spark, folder), directed)
 
 
-def bulk(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
-    """Parts bought together in bulk: sparse, with long paths and many components."""
-    return Graph.from_edges(copurchase_edges(spark, folder, BULK), directed)
+def order_lines(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
+    """Order lines, each linked to the next number of its order: sparse, with one component or more per order.
+
+    A vertex stands for a number of an order, ``l_orderkey * LINE_NUMBERS + l_linenumber``; numbers that don't fit fail
+    the job. The weight is one plus the least difference in quantity between rows of the two numbers.
+    """
+    fits = F.col("l_linenumber").between(0, LINE_NUMBERS - 1)
+    number = F.when(fits, F.col("l_linenumber")).otherwise(F.raise_error(F.lit("line number does not fit an id")))
+    id = F.col("l_orderkey").cast("long") * LINE_NUMBERS + number
+    rows = _table(spark, folder, "lineitem").select(
+        id.alias("src"), F.col("l_quantity").alias("q"), (id + 1).alias("dst"), (number + 1 < LINE_NUMBERS).alias("more")
+    )
+    lines = rows.select("src", "q", "dst", "more").distinct()
+    next_lines = lines.select(F.col("src").alias("dst"), F.col("q").alias("quantity"))
+    edges = (
+        lines.where("more")
+        .join(next_lines, "dst")
+        .groupBy("src", "dst")
+        .agg((F.min(F.abs(F.col("q") - F.col("quantity"))) + 1).alias("weight"))
+    )
+    return Graph.from_tables(rows.select(F.col("src").alias("id")), edges, directed)
 
 
-def bulk_all_parts(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
-    """``bulk`` over every part of the catalogue, so with isolated vertices."""
+def copurchase_all_parts(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
+    """``copurchase`` over every part of the catalogue, bought or not."""
     parts = _table(spark, folder, "part").select(F.col("p_partkey").alias("id"))
-    return Graph.from_tables(parts, copurchase_edges(spark, folder, BULK), directed)
+    return Graph.from_tables(parts, copurchase_edges(spark, folder), directed)
 
 
 def supplier_part(spark: SparkSession, folder: str, directed: bool = False) -> Graph:
@@ -91,13 +108,16 @@ def geography(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
 def busiest_source(graph: Graph) -> int:
     """The vertex with most out-edges, the smallest id among equals."""
     counts = graph.edges.groupBy("src").agg(F.count(F.lit(1)).alias("rows"))
-    return counts.orderBy(F.desc("rows"), "src").first()["src"]
+    found = counts.orderBy(F.desc("rows"), "src").first()
+    if found is None:
+        raise ValueError("the graph has no edges")
+    return found["src"]
 
 
 GRAPHS: dict[str, Callable[..., Graph]] = {
     "copurchase": copurchase,
-    "bulk": bulk,
-    "bulk_all_parts": bulk_all_parts,
+    "order_lines": order_lines,
+    "copurchase_all_parts": copurchase_all_parts,
     "supplier_part": supplier_part,
     "geography": geography,
 }
