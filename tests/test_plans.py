@@ -53,11 +53,11 @@ def test_repeated_line_numbers_all_count(spark, tmp_path):
 
 def test_many_vertices_with_few_edges_get_partitions(spark):
     edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(10)], "src long, dst long, weight double")
-    graph = Graph.from_tables(spark.range(300_000), edges).checkpoint()
+    graph = Graph.from_tables(spark.range(1_000_000), edges).checkpoint()
     with arranged(graph) as layout:
         assert layout.partitions > 1
-    for result in (bfs(graph, 0), sssp(graph, 0), wcc(graph), cdlp(graph, 1), pagerank(graph, 1), lcc(graph)):
-        assert result.rdd.getNumPartitions() > 1
+    for find in (lambda g: bfs(g, 0), lambda g: sssp(g, 0), wcc, lambda g: cdlp(g, 1), lambda g: pagerank(g, 1), lcc):
+        assert find(graph).rdd.getNumPartitions() > 1, find
 
 
 def test_a_loop_keeps_one_copy_of_the_edges(spark):
