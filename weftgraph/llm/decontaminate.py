@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weftgraph.llm import text as tx
+from weftgraph.llm.columns import named, numbered
 from weftgraph.operators.runtime import cut
 
 WINDOW = 10
@@ -247,5 +248,6 @@ def decontaminate(
     found = cut(found.select(F.col(doc).alias("_hit_doc"), F.col("text_key").alias("_hit_key")))
     if found.limit(BROADCAST_HITS + 1).count() <= BROADCAST_HITS:
         found = F.broadcast(found)
-    same = docs[doc].eqNullSafe(F.col("_hit_doc")) & (F.xxhash64(docs[text]) == F.col("_hit_key"))
-    return docs.join(found, same, "left_anti")
+    plain, names = numbered(docs)
+    same = F.col(names[doc]).eqNullSafe(F.col("_hit_doc")) & (F.xxhash64(names[text]) == F.col("_hit_key"))
+    return named(plain.join(found, same, "left_anti"), names)

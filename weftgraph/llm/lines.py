@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from weftgraph.llm import text as tx
+from weftgraph.llm.columns import named, numbered
 from weftgraph.operators.runtime import cut
 
 MIN_WORDS = 50
@@ -151,7 +152,9 @@ def drop_repeated_lines(
     gone = cut(repeated_lines(docs, doc=doc, text=text, min_words=min_words)).withColumnsRenamed(
         {"_doc": "_gone_doc", "_key": "_gone_key"}
     )
-    same = F.col(doc).eqNullSafe(F.col("_gone_doc")) & (F.xxhash64(docs[text]) == F.col("_gone_key"))
-    joined = docs.join(gone, same, "left").withColumn(text, rest(F.col(text), F.col("_lines")))
-    number = [] if deleted is None else [F.coalesce(F.size("_lines"), F.lit(0)).alias(deleted)]
-    return joined.select(*docs.columns, *number)
+    plain, names = numbered(docs)
+    same = F.col(names[doc]).eqNullSafe(F.col("_gone_doc")) & (F.xxhash64(names[text]) == F.col("_gone_key"))
+    joined = plain.join(gone, same, "left").withColumn(names[text], rest(F.col(names[text]), F.col("_lines")))
+    if deleted is None:
+        return named(joined, names)
+    return named(joined.withColumn(deleted, F.coalesce(F.size("_lines"), F.lit(0))), names, deleted)

@@ -31,13 +31,8 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.schedule(_table(spark, sf_dir, "documents")).select(
-        "doc_id",
-        F.col("_size").alias("size"),
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        F.col("_taken").alias("taken"),
-    )
+    planned = mixing.schedule(_table(spark, sf_dir, "documents"))
+    return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

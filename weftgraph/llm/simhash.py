@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from weftgraph.llm import text as tx
+from weftgraph.llm.columns import named, numbered
 from weftgraph.llm.components import components
 from weftgraph.operators.runtime import cut
 
@@ -205,6 +206,7 @@ def drop_near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "t
     kept = groups.groupBy("_root").agg(chosen.alias("_kept")).select(
         F.col("_kept.id").alias("_kept_doc"), F.col("_kept.key").alias("_kept_key")
     ).distinct()
-    same = F.col(doc).eqNullSafe(F.col("_kept_doc")) & (F.col("_key") == F.col("_kept_key"))
-    keyed = docs.withColumn("_key", F.xxhash64(text))
-    return keyed.join(cut(kept), same, "left_semi").dropDuplicates([doc, "_key"]).select(docs.columns)
+    plain, names = numbered(docs)
+    keyed = plain.withColumn("_key", F.xxhash64(names[text]))
+    same = F.col(names[doc]).eqNullSafe(F.col("_kept_doc")) & (F.col("_key") == F.col("_kept_key"))
+    return named(keyed.join(cut(kept), same, "left_semi").dropDuplicates([names[doc], "_key"]), names)
