@@ -16,14 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from weftgraph.llm import text as tx
+from weftgraph.llm.columns import named, numbered
 from weftgraph.operators.runtime import cut
 
 TRAINING_DOCS = 20_000
 """Labelled documents to learn from, about, chosen by a hash of their ids; all of them where there are fewer."""
 FOLDS, HELD_OUT = 5, 0
-PREFIXES = (3, 4, 5, 6, 7)
+PREFIXES = (5, 6, 7)
 PRIOR_WEIGHT = 4.0
 LEAST_DOCS = 3
+SURE = 0.9
 
 #: Letters of the character model, a boundary for all else.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"
@@ -46,6 +48,7 @@ _DISGUISED = re.compile(
 )
 #: Tokens of one character, one blank apart.
 _SPREAD = re.compile(r"(?<!\S)[^\W_](?: [^\W_]){2,}(?!\S)")
+_REPEATED = re.compile(r"(.)\1+")
 _AROUND = ".,;:?!\"'()[]{}<>#%&*~^=/\\"
 
 
@@ -140,8 +143,9 @@ def _words(token: str, decoder: Decoder) -> list[str]:
     """Words of a token, as written and restored."""
     words = _WORD.findall(token)
     if _DISGUISED.search(token) or " " in token:
-        read = decoder(token.strip(_AROUND))
-        words += [*read.split(), read.replace(" ", "")]
+        read = decoder(token.rstrip(_AROUND).lstrip(_AROUND.replace("!", "")))
+        joined = read.replace(" ", "")
+        words += [*read.split(), joined, _REPEATED.sub(r"\1", joined)]
     return words
 
 
@@ -246,26 +250,33 @@ def fit(
     counted = (
         once.mapInArrow(features, "feature string, half int, clean long, toxic long")
         .groupBy("feature")
-        .agg(
-            *[F.sum(F.when(F.col("half") == h, F.col(x))).alias(f"{x}{h}") for h in (0, 1) for x in ("clean", "toxic")]
-        )
-        .fillna(0)
-        .filter(f"feature = '' or toxic0 + toxic1 >= {LEAST_DOCS} and toxic0 + toxic1 > clean0 + clean1")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .filter(f"feature != '' and toxic >= {LEAST_DOCS} and toxic > clean")
         .toPandas()
-        .set_index("feature")
-        .astype(float)
     )
-    if "" not in counted.index:
+    candidates = spark.sparkContext.broadcast(({f: i for i, f in enumerate(sorted(counted["feature"]))}, characters))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, decoder = candidates.value[0], Decoder(candidates.value[1])
+        for batch in batches:
+            found = []
+            for text_ in batch.column("_text").to_pylist():
+                words = {w for token in _tokens(text_) for w in _words(token, decoder)}
+                found.append(sorted({numbers[f] for word in words for f in _features(word) if f in numbers}))
+            kept = [pa.array(found, pa.list_(pa.int32())), batch.column("_half"), batch.column("_label")]
+            yield pa.RecordBatch.from_arrays(kept, ["held", "half", "label"])
+
+    # Rows of the bounded sample, without their texts.
+    sample = once.mapInArrow(held, "held array<int>, half int, label int").toPandas()
+    if sample.empty:
         return ToxicityModel({}, characters, (-30.0, 0.0, 0.0))
+    names = sorted(counted["feature"])
 
-    def chances(clean, toxic) -> dict[str, float]:
-        prior = toxic[""] / max(1.0, clean[""] + toxic[""])
-        found = (toxic + PRIOR_WEIGHT * prior) / (toxic + clean + PRIOR_WEIGHT)
-        found = found[(found > 0.5) & (toxic >= LEAST_DOCS)].drop("", errors="ignore")
-        return dict(zip(found.index, found.tolist(), strict=True))
+    def chances(part) -> dict[str, float]:
+        return _explained(names, [list(x) for x in part["held"]], (part["label"] > 0).to_numpy())
 
     # One half shows what words tell, the other how to weigh it.
-    first = spark.sparkContext.broadcast((chances(counted["clean0"], counted["toxic0"]), characters))
+    first = spark.sparkContext.broadcast((chances(sample[sample["half"] == 0]), characters))
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = ToxicityModel(*first.value)
@@ -277,8 +288,30 @@ def fit(
 
     known = once.filter("_half = 1").mapInArrow(told, "a double, b double, c double, label int").toPandas()
     weights = _logistic(known[["a", "b", "c"]].to_numpy(), (known["label"] > 0).to_numpy(float))
-    both = chances(counted["clean0"] + counted["clean1"], counted["toxic0"] + counted["toxic1"])
-    return ToxicityModel(both, characters, tuple(weights.tolist()))
+    return ToxicityModel(chances(sample), characters, tuple(weights.tolist()))
+
+
+def _explained(names: list[str], held: list[list[int]], toxic: np.ndarray) -> dict[str, float]:
+    """Features and their chances: the sure ones, and of the others those that hold among texts without a sure one.
+
+    So words that merely stand beside a toxic one, as in copies of one text, tell nothing.
+    """
+    texts = np.repeat(np.arange(len(held)), [len(x) for x in held])
+    features = np.array([i for x in held for i in x], np.int64)
+
+    def among(left: np.ndarray) -> np.ndarray:
+        kept = left[texts]
+        bad = np.bincount(features[kept & toxic[texts]], minlength=len(names))
+        every = np.bincount(features[kept], minlength=len(names))
+        prior = toxic[left].mean() if left.any() else 0.0
+        return np.where(bad < LEAST_DOCS, 0.0, (bad + PRIOR_WEIGHT * prior) / (every + PRIOR_WEIGHT))
+
+    chance = among(np.ones(len(held), bool))
+    sure = chance >= SURE
+    left = np.ones(len(held), bool)
+    left[texts[sure[features]]] = False
+    chance = np.where(sure, chance, among(left))
+    return {name: float(c) for name, c in zip(names, chance, strict=True) if c > 0.5}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
@@ -298,7 +331,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30
 
 
 def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1; every row and column stays, null and empty texts get the lowest score."""
+    """``docs`` with a score from 0 to 1; rows and columns stay, but for one called ``name``; null and empty texts get the lowest score."""
+    source, names = numbered(docs)
     shared = docs.sparkSession.sparkContext.broadcast((model.chances, model.characters, model.weights))
     place = docs.columns.index(text)
 
@@ -308,7 +342,8 @@ def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", name: st
             scores = pa.array([ready.score(x.as_py()) for x in batch.column(place)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, name])
 
-    return docs.mapInArrow(rows, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    scored = source.mapInArrow(rows, T.StructType([*source.schema.fields, T.StructField(name, T.DoubleType())]))
+    return named(scored, names, name)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, text: str = "text", least: float = 0.5, **options) -> DataFrame:
