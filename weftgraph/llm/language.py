@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from weftgraph.llm import text as tx
+from weftgraph.llm.columns import named, numbered
 from weftgraph.operators.runtime import cut
 
 SAMPLE_SYMBOLS = 120_000
@@ -201,20 +202,21 @@ def fit(
 def predict(docs: DataFrame, model: LanguageModel, *, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the language of each whole text and a score from 0 to 1: how much dearer the second is.
 
-    A text that is null or has no letter is ``und`` with score 0. Rows and columns stay.
+    A text that is null or has no letter is ``und`` with score 0. Rows and columns stay, but for columns of the two new names.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.letters, model.languages, model.tables, model.costs))
-    docs_names, place = docs.columns, docs.columns.index(text)
+    (source, names), place = numbered(docs), docs.columns.index(text)
+    columns = [*source.columns, lang, score]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = LanguageModel(*shared.value)
         for whole in batches:
             whole = whole.rename_columns([str(i) for i in range(whole.num_columns)])
             for batch in tx.slices(whole, str(place)):
-                names, scores = ready.predict([x or "" for x in batch.column(place).to_pylist()])
+                found, scores = ready.predict([x or "" for x in batch.column(place).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*docs_names, lang, score]
+                    [*batch.columns, pa.array(found, pa.string()), pa.array(scores)], columns
                 )
 
     more = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
-    return docs.mapInArrow(rows, T.StructType([*docs.schema.fields, *more]))
+    return named(source.mapInArrow(rows, T.StructType([*source.schema.fields, *more])), names, lang, score)
