@@ -55,14 +55,14 @@ def dangling_count(graph: Graph) -> DataFrame:
 
 
 def hot_vertices(counts: DataFrame, key: str) -> DataFrame | None:
-    """The ids in ``counts(id, degree)`` whose rows need splitting, as ``(key)``; None if there are none."""
+    """The ids in ``counts(id, degree)`` whose rows need splitting, as ``(key, _salts)``; None if there are none."""
     total, most = counts.agg(F.sum("degree"), F.max("degree")).first()
     if not total:
         return None
     limit = skew.hot_threshold(total, runtime.partition_count(counts.sparkSession, total))
     if most <= limit:
         return None
-    return counts.where(F.col("degree") > limit).select(F.col("id").alias(key))
+    return skew.hot_keys(counts.withColumnRenamed("id", key), key, "degree", limit)
 
 
 def transition_probabilities(graph: Graph) -> DataFrame:

@@ -16,8 +16,8 @@ from weftgraph.operators import runtime, skew
 @dataclass(frozen=True)
 class Layout:
     """``cold`` edges are partitioned and sorted by ``src`` like the state is by ``id``, so they join in
-    place. Edges of the few ``hot`` sources are dealt out evenly and meet a broadcast of those sources'
-    state.
+    place. Edges of the few ``hot`` sources are split into parts of about an even share, ``spread`` by source
+    and part, and each part meets a copy of its source's state.
     """
 
     cold: DataFrame
@@ -41,8 +41,8 @@ class Layout:
         sent = self.cold.join(senders, "src").select("dst", message.alias("msg"))
         if self.hot is None:
             return sent.withColumnRenamed("dst", "id")
-        few = F.broadcast(senders.join(F.broadcast(self.hot), "src", "left_semi"))
-        more = self.spread.join(few, "src").select("dst", message.alias("msg"))
+        few = skew.repeated(senders, "src", self.hot)
+        more = self.spread.join(few, ["src", skew.SALT]).select("dst", message.alias("msg"))
         return sent.unionByName(more).withColumnRenamed("dst", "id")
 
 
@@ -74,9 +74,10 @@ def arranged(graph: Graph, *, undirected: bool = False, weighted: bool = False)
         with runtime.loop_settings(spark, partitions):
             hot, cold, spread = None, edges, None
             if most > limit:
-                hot = runtime.cut(per_source.where(F.col("rows") > limit).select("src"))
-                cold = edges.join(F.broadcast(hot), "src", "left_anti")
-                spread = edges.join(F.broadcast(hot), "src", "left_semi").repartition(partitions)
+                hot = runtime.cut(skew.hot_keys(per_source, "src", "rows", limit))
+                cold = edges.join(F.broadcast(hot.select("src")), "src", "left_anti")
+                place = ("src", skew.SALT)
+                spread = skew.dealt(edges, "src", hot).repartition(partitions, *place).sortWithinPartitions(*place)
                 spread.persist(StorageLevel.MEMORY_AND_DISK)
             cold = cold.repartition(partitions, "src").sortWithinPartitions("src")
             cold.persist(StorageLevel.MEMORY_AND_DISK)

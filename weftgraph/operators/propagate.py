@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from weftgraph.functions.combine import Combiner
 from weftgraph.graph import Graph
+from weftgraph.operators import skew
 from weftgraph.operators.layout import Layout, arranged
 from weftgraph.operators.runtime import cut
 
-_RESERVED = {"src", "dst", "weight", "msg", "_changed"}
+_RESERVED = {"src", "dst", "weight", "msg", "_changed", skew.SALT, skew.SALTS}
 
 
 @dataclass(frozen=True)

@@ -13,9 +13,6 @@ from weftgraph.operators import runtime, skew
 
 # Neighbours compared at a time; longer lists travel in pieces of this many.
 PIECE = 4096
-# No more vertices than half of this are treated as hubs, so that their lists, which hold hubs only, stay
-# below MOST_HUBS ** 2 / 8 entries together, 16 MB.
-MOST_HUBS = 4096
 
 # What may be asked of a link from a lower vertex to a higher one.
 _KINDS = {
@@ -60,10 +57,10 @@ def closed(graph: Graph, kinds: Sequence[str] = (), *, every_vertex: bool = Fals
         ends, most = degrees.agg(F.sum("degree"), F.max("degree")).first()
         rows = max(ends or 0, graph.vertices.count() if every_vertex else 0)
         partitions = runtime.partition_count(spark, rows)
-        limit = skew.hot_threshold(ends or 0, partitions, MOST_HUBS)
+        limit = skew.hot_threshold(ends or 0, partitions)
         hot = None
         if (most or 0) > limit:
-            hot = runtime.cut(degrees.where(F.col("degree") > limit).select("id"))
+            hot = runtime.cut(skew.hot_keys(degrees, "id", "degree", limit))
         with runtime.settings(spark, {"spark.sql.shuffle.partitions": partitions}):
             yield Closed(degrees, _common(_lists(pairs, degrees, hot, kinds), hot, kinds))
     finally:
@@ -72,7 +69,7 @@ def closed(graph: Graph, kinds: Sequence[str] = (), *, every_vertex: bool = Fals
 
 
 def _named(hot: DataFrame | None, key: str) -> DataFrame | None:
-    return None if hot is None else hot.select(F.col("id").alias(key))
+    return None if hot is None else hot.withColumnRenamed("id", key)
 
 
 def _lists(pairs: DataFrame, degrees: DataFrame, hot: DataFrame | None, kinds: Sequence[str]) -> DataFrame:
@@ -117,7 +114,7 @@ def _common(lists: DataFrame, hot: DataFrame | None, kinds: Sequence[str]) -> Da
             *[F.array_intersect("piece", f"list_{kind}").alias(f"piece_{kind}") for kind in kinds],
         )
     )
-    # A hub has few higher vertices, all of them hubs, so the lists of the hot ones are short too.
+    # A hub has few higher vertices, all of them hubs, so the lists repeated for its parts are short.
     table = lists.select(F.col("u").alias("v"), "list", *of_kind)
     return (
         skew.keyed_join(pieces, table, "v", _named(hot, "v"))

@@ -71,16 +71,16 @@ def _hook(layout: Layout, state: DataFrame) -> DataFrame:
 
 
 def _jump(state: DataFrame, vertices: int, partitions: int) -> DataFrame:
-    """Labels looked up as ids. Vertices sharing one label may be most of the graph, so such labels are
-    resolved by broadcast; a label naming its own holder's root needs no lookup.
+    """Labels looked up as ids. Vertices sharing one label may be most of the graph, so those of such a label
+    are split into parts; a label naming its own holder's root needs no lookup.
     """
     labels = state.select(F.col("id").alias("component"), F.col("component").alias("jumped"))
     open_rows = state.where(F.col("id") != F.col("component")).select("id", "component")
     limit = skew.hot_threshold(vertices, partitions)
     hot = None
     if vertices > limit:
-        frequent = open_rows.groupBy("component").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > limit)
-        hot = cut(frequent.select("component"))
+        counts = open_rows.groupBy("component").agg(F.count(F.lit(1)).alias("rows"))
+        hot = cut(skew.hot_keys(counts, "component", "rows", limit))
     found = skew.keyed_join(open_rows, labels, "component", hot)
     moved = found.where(F.col("jumped") < F.col("component")).select("id", "jumped")
     return _lower(state.join(moved, "id", "left"), F.col("jumped"), F.col("_changed"))
