@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.llm import chat, language, licences, lines, mixing, pages, simhash, sql, toxicity, vectors
+from weftgraph.llm import bpe, chat, language, licences, lines, mixing, pages, simhash, sql, toxicity, vectors
 from weftgraph.llm.decontaminate import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,19 @@ def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    return bpe.decode(encoded.select("doc_id", "ids"), vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": decontaminate,
     "op2_mix": mix,
@@ -119,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op8_language": languages,
     "op9_simhash": simhash_groups,
     "op10_vectors": near_vectors,
+    "op13_bpe": bpe_round_trip,
 }
 
 ORACLE_SQL: dict[str, str] = {
