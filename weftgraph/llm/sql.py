@@ -107,3 +107,20 @@ r(id, label) using key (id) as (
   group by s.b, k.label having min(r.label) < k.label)
 select v.vec_id, coalesce(n, 0)::bigint as n_links, r.label as component_id, v.vec_id = r.label as kept
 from embeddings v join r on r.id = v.vec_id left join (select a, count(*) as n from s group by a) on a = v.vec_id"""
+
+HARD_NEGATIVES = """
+with e as materialized (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as x
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+s as materialized (
+  select a.r as a, a.vec_id as anchor_id, a.label = e.label as same, e.r, e.vec_id, list_dot_product(a.x, e.x)::bigint as score
+  from e a join e on len(a.x) = len(e.x) and a.r <> e.r where a.vec_id % 100 = 0),
+p as (
+  select a, r, anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by a order by score desc, vec_id, r) <= 5)
+select p.anchor_id, positive_id, row_number() over (partition by p.a, p.r order by score desc, vec_id, s.r)::integer as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from p join s on s.a = p.a and not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5"""
