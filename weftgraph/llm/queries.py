@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.llm import bpe, chat, language, licences, lines, mixing, negatives, pages, simhash, sql, toxicity, vectors
+from weftgraph.llm import bpe, chat, language, licences, lines, mixing, negatives, pages, simhash, sql, toxicity, trie, vectors
 from weftgraph.llm.decontaminate import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +121,10 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(*trie.with_shared_beginnings(trie.keyed(_table(spark, sf_dir, "conversations")))).drop("node")
+
+
 def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
@@ -137,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op8_language": languages,
     "op9_simhash": simhash_groups,
     "op10_vectors": near_vectors,
+    "op11_conversation_trie": conversation_trie,
     "op12_hard_negatives": hard_negatives,
     "op13_bpe": bpe_round_trip,
 }
@@ -147,5 +152,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_format_chat": sql.FORMAT_CHAT,
     "op7_line_dedup": sql.LINE_DEDUP,
     "op10_vectors": sql.VECTORS,
+    "op11_conversation_trie": sql.CONVERSATION_TRIE,
     "op12_hard_negatives": sql.HARD_NEGATIVES,
 }

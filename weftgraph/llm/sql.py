@@ -124,3 +124,33 @@ select p.anchor_id, positive_id, row_number() over (partition by p.a, p.r order
   vec_id as negative_id, positive_score, score as negative_score
 from p join s on s.a = p.a and not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
 qualify rank <= 5"""
+
+CONVERSATION_TRIE = """
+with o as materialized (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations where conv_id is not null),
+t as materialized (
+  select c, x, chars, row_number() over (partition by c order by turn nulls first, x) as k from (
+    select c, turn, length(text) as chars, sha256(length(role)::varchar || ':' || role || text) as x from o)),
+h as materialized (
+  select c, c - c % 100 as base, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+    string_split(c::varchar, ''), lambda b: [ord(b)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda r, b: case when b >= 0 then xor(r, b) else xor(r >> 1, case when r & 1 = 1 then 3988292384 else 0 end) end)) % 6 as h
+  from (select distinct c from o)),
+r as (
+  select h.c, 0 as part, k, x, chars from h join t on t.c = h.base and k <= h where h.c <> base
+  union all select h.c, 1, k, x, chars from h join t on t.c = h.c where h.c = base or k > h),
+p as materialized (
+  select c, row_number() over w as d, string_agg(x, '') over w as p, chars from r window w as (partition by c order by part, k)
+  union all select c, 0, '', 0 from h),
+n as materialized (select d, p, min(c) as c, count(*) as n, any_value(chars) as chars from p group by d, p),
+kids as materialized (select substr(p, 1, 64 * (d - 1)) as p, count(*) as kids from n where d > 0 group by all),
+m as materialized (select n.*, coalesce(kids, 0) as kids from n left join kids using (p)),
+s as (
+  select a.p, sum((b.kids = 0)::bigint) as leaves, sum((b.n - 1) * b.chars) as saved
+  from m a join m b on b.d >= a.d and substr(b.p, 1, 64 * a.d) = a.p group by a.p),
+e as (
+  select p, string_agg(c::varchar, ',' order by c) as ends from (
+    select c, p from p qualify row_number() over (partition by c order by d desc) = 1) group by p)
+select m.c as conv_id, m.d as depth, u.c as parent_conv_id, m.n as n_convs, m.kids as n_children, leaves::bigint as n_leaves,
+  saved::bigint as saved_tokens, sha256(coalesce(ends, '')) as ends_sha256
+from m join s using (p) left join e using (p) left join n u on m.d > 0 and u.p = substr(m.p, 1, 64 * (m.d - 1))"""
