@@ -6,13 +6,14 @@ a task needs of those before it is one conversation's sums so far, so a conversa
 
 Sums over subtrees take rounds of joins whose number follows the logarithm of the tree's size, not its depth. In each,
 leaves are raked into their parents, and of chains of nodes with one child some, never two in a row, are compressed: their
-child is hung on their parent and carries what they held. Afterwards compressed nodes are expanded in reverse order.
+child is hung on their parent and carries what they held. Afterwards compressed nodes are expanded again.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -108,14 +109,15 @@ def prefix_trie(turns: DataFrame, convs: DataFrame | None = None) -> DataFrame:
     top = F.struct(F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"))
     root = convs.agg(F.count(F.lit(1)).alias("n_convs"), F.min("conv").alias("conv_id")).filter("n_convs > 0")
     root = root.select(top.alias("key"), "n_convs", "conv_id", F.lit(0).cast("long").alias("chars"))
-    nodes = cut(nodes.unionByName(root, allowMissingColumns=True).withColumn("node", F.monotonically_increasing_id()))
+    nodes = nodes.unionByName(root, allowMissingColumns=True).withColumn("node", F.monotonically_increasing_id())
+    watch = Observation()
+    nodes = cut(nodes, watch, nodes=F.count(F.lit(1)))
 
     below = nodes.filter("up is not null").groupBy(F.col("up").alias("key")).agg(F.count(F.lit(1)).alias("n_children"))
-    parents = cut(nodes.join(below, "key", "left").select("key", "node", "conv_id", F.coalesce("n_children", F.lit(0)).alias("n_children")))
-    total, most = parents.agg(F.count(F.lit(1)), F.max("n_children")).first()
-    partitions = runtime.partition_count(turns.sparkSession, total)
-    limit = skew.hot_threshold(total, partitions)
-    hot = cut(skew.hot_keys(parents, "key", "n_children", limit)) if (most or 0) > limit else None
+    parents = nodes.join(below, "key", "left").select("key", "node", "conv_id", F.coalesce("n_children", F.lit(0)).alias("n_children"))
+    total = watch.get["nodes"]
+    limit = skew.hot_threshold(total, runtime.partition_count(turns.sparkSession, total))
+    hot = cut(skew.hot_keys(below, "key", "n_children", limit)) if total > limit else None
     up = parents.select("key", F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     children = nodes.filter("up is not null").select("node", F.col("key").alias("own"), "n_convs", "conv_id", "chars", F.col("up").alias("key"))
     known = skew.keyed_join(children, up, "key", hot).drop("key").withColumnRenamed("own", "key")
@@ -293,23 +295,40 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
         watch = Observation()
         state = tree.select("id", "parent", "depth", "leaf", *values, *[F.lit(0).cast("long").alias(off[v]) for v in values])
         live = cut(state.repartition(partitions, "id").sortWithinPartitions("id"), watch, inner=F.count_if(~F.col("leaf")))
-        rounds = [(live, 0)]
-        while watch.get["inner"]:
-            live, watch, skipped = _contracted(live, values, off, extra, len(rounds) - 1, bits)
-            rounds.append((live, skipped))
-        known = None
-        for live, skipped in reversed(rounds):
-            done = live.filter("leaf").select("id", *values)
-            known = done if known is None else known.unionByName(done)
-            if skipped:
-                held = live.filter("skipped is not null").select(F.col("skipped"), "id", *extra.values())
-                whole = held.join(known, "id").select(F.col("skipped").alias("id"), *[(F.col(v) + F.col(extra[v])).alias(v) for v in values])
-                known = cut(known.unionByName(whole))
+        rounds, seen = [live], watch.get
+        compressed = 0
+        while seen["inner"]:
+            live, seen = _contracted(live, values, off, extra, len(rounds) - 1, bits)
+            rounds.append(live)
+            compressed += bool(seen["skipped"])
+        known = reduce(DataFrame.unionByName, [live.filter("leaf").select("id", *values) for live in rounds])
+        if compressed:
+            kept = [F.col("skipped").alias("id"), F.col("id").alias("below"), *extra.values()]
+            held = reduce(DataFrame.unionByName, [live.filter("skipped is not null").select(*kept) for live in rounds[1:]])
+            known = known.unionByName(_expanded(held, known, extra, compressed))
         return cut(known)
 
 
-def _contracted(live: DataFrame, values: Sequence[str], off: dict, extra: dict, number: int, bits: int) -> tuple[DataFrame, Observation, int]:
-    """The next round's nodes, a watch over those that are no leaves, and how many were compressed.
+def _expanded(held: DataFrame, known: DataFrame, extra: dict[str, str], rounds: int) -> DataFrame:
+    """Sums of compressed nodes: their child's and their extra.
+
+    A child may have been compressed itself, in a later round. Such nodes first look past one another, twice as far in
+    each step, until each names a node whose sum is known.
+    """
+    for _ in range((rounds - 1).bit_length()):
+        held = cut(held)
+        further = held.select(F.col("id").alias("below"), F.col("below").alias("next"), *[F.col(x).alias(f"more_{x}") for x in extra.values()])
+        held = held.join(further, "below", "left").select(
+            "id",
+            F.coalesce("next", "below").alias("below"),
+            *[(F.col(x) + F.coalesce(f"more_{x}", F.lit(0))).alias(x) for x in extra.values()],
+        )
+    whole = held.join(known.withColumnRenamed("id", "below"), "below")
+    return whole.select("id", *[(F.col(v) + F.col(x)).alias(v) for v, x in extra.items()])
+
+
+def _contracted(live: DataFrame, values: Sequence[str], off: dict, extra: dict, number: int, bits: int) -> tuple[DataFrame, dict]:
+    """The next round's nodes, how many of them are no leaves, and how many were compressed.
 
     A compressed node stays as ``skipped`` and ``extra_*`` in the row of its child: its sum is the child's and that extra.
     """
@@ -332,8 +351,8 @@ def _contracted(live: DataFrame, values: Sequence[str], off: dict, extra: dict,
     )
     picked = coin(F.col("id"), F.col("depth")) & ~coin(F.col("child"), F.col("child_depth"))
     compressed = F.coalesce((F.col("left") == 1) & F.col("parent").isNotNull() & picked, F.lit(False))
-    seen = Observation()
-    raked = cut(
+    # Read twice below; the sums told to parents, all that is shuffled for it, are made once.
+    raked = (
         live.filter(~leaf)
         .join(told, "id")
         .select(
@@ -345,9 +364,7 @@ def _contracted(live: DataFrame, values: Sequence[str], off: dict, extra: dict,
             *off.values(),
             compressed.alias("out"),
             "child",
-        ),
-        seen,
-        skipped=F.count_if("out"),
+        )
     )
     # To the only child of a compressed node: its new parent, what it carries from now on, the node that it stands for.
     sent = raked.filter("out").select(
@@ -369,7 +386,8 @@ def _contracted(live: DataFrame, values: Sequence[str], off: dict, extra: dict,
         "skipped",
         *[(F.col(off[v]) + F.col(f"held_{v}")).alias(extra[v]) for v in values],
     )
-    return cut(after, watch, inner=F.count_if(~leaf)), watch, seen.get["skipped"]
+    live = cut(after, watch, inner=F.count_if(~leaf), skipped=F.count("skipped"))
+    return live, watch.get
 
 
 def _digests(ends: DataFrame) -> DataFrame:
