@@ -22,6 +22,8 @@ from weftgraph.llm.columns import named, numbered
 from weftgraph.operators.runtime import cut
 
 MIN_WORDS = 50
+BROADCAST_LINES = 1_000_000
+"""Texts that change and lines that go, up to this number together, are broadcast; more are shuffled."""
 
 _DOC = ["_doc", "_key"]
 
@@ -152,6 +154,10 @@ def drop_repeated_lines(
     gone = cut(repeated_lines(docs, doc=doc, text=text, min_words=min_words)).withColumnsRenamed(
         {"_doc": "_gone_doc", "_key": "_gone_key"}
     )
+    texts, lines = gone.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_lines")), F.lit(0))).first()
+    if texts + lines <= BROADCAST_LINES:
+        # Texts stay where they are.
+        gone = F.broadcast(gone)
     plain, names = numbered(docs)
     same = F.col(names[doc]).eqNullSafe(F.col("_gone_doc")) & (F.xxhash64(names[text]) == F.col("_gone_key"))
     joined = plain.join(gone, same, "left").withColumn(names[text], rest(F.col(names[text]), F.col("_lines")))

@@ -9,7 +9,6 @@ under one of the ``2 ** (distance + 1) - 1`` masks, each of which keeps about ha
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,10 @@ SHINGLE = 4
 DISTANCE = 4
 SEED = 42
 MOST_COMPARED = 256
-"""Members of a bucket that are compared in one task; those of larger buckets meet by their neighbourhoods."""
+"""Members of a bucket that are compared at once; those of larger buckets are in parts."""
+PART = 4
+BROADCAST_ROWS = 1_000_000
+"""Documents to leave out up to this number are broadcast, by id and text key; more are shuffled."""
 
 #: For each byte, its eight bits as the eight bytes of a word.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).copy().view(np.uint64).reshape(-1)
@@ -96,17 +98,16 @@ def links(values: DataFrame, distance: int = DISTANCE, most_compared: int = MOST
     """``(a, b)``: enough of the pairs of ``values(v)`` within ``distance`` bits to connect all that are linked.
 
     ``values`` are distinct. Two values within the distance share a bucket. In buckets of up to
-    ``most_compared`` values all are compared and each group is hung on its smallest value. In larger ones a
-    value meets others where up to ``distance`` of its differences from the bucket's smallest value are undone:
-    two values within the distance meet where both have just their common differences left, so no pair is
-    lost, and the work is in proportion to the bucket.
+    ``most_compared`` values all are compared and each group is hung on its smallest value. Larger ones are dealt
+    to parts of ``PART`` times as many, and each two parts are compared in a task in the same way, so that no pair is lost. A bucket of
+    n different values takes n squared comparisons, spread over tasks of bounded size, and no row for a pair that is not hung.
     """
     tables = F.explode(
         F.array(*[F.struct(F.lit(i).alias("_table"), F.col("v").bitwiseAND(F.lit(m)).alias("_masked")) for i, m in enumerate(masks(distance))])
     )
     held = values.select("v", tables.alias("_t")).select("v", "_t.*")
     key = ["_table", "_masked"]
-    sizes = cut(held.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("v").alias("_centre")).filter("_n > 1"))
+    sizes = cut(held.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
     met = held.join(sizes, key)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,36 +127,22 @@ def links(values: DataFrame, distance: int = DISTANCE, most_compared: int = MOST
     )
     if sizes.filter(F.col("_n") > most_compared).isEmpty():
         return small.distinct()
-    near = met.filter(F.col("_n") > most_compared).select(*key, "v", "_centre")
-
-    def undone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 64):
-                part = batch.slice(begin, 64)
-                index, points, steps = [], [], []
-                for i, (v, centre) in enumerate(
-                    zip(part.column("v").to_pylist(), part.column("_centre").to_pylist(), strict=True)
-                ):
-                    bits = [1 << b for b in range(BITS) if (v ^ centre) >> b & 1]
-                    for n in range(min(distance, len(bits)) + 1):
-                        for some in combinations(bits, n):
-                            index.append(i)
-                            points.append((v ^ sum(some)) & (1 << BITS) - 1)
-                            steps.append(n)
-                taken = part.select([*key, "v"]).take(pa.array(index, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(np.array(points, np.uint64).view(np.int64)), pa.array(steps, pa.int32())],
-                    [*key, "v", "point", "steps"],
-                )
-
-    points = near.mapInArrow(undone, "_table int, _masked long, v long, point long, steps int")
-    nearest = cut(points.groupBy(*key, "point").agg(F.min(F.struct("steps", "v")).alias("_nearest")))
-    hung = (
-        points.join(nearest, [*key, "point"])
-        .filter((F.col("steps") + F.col("_nearest.steps") <= distance) & (F.col("v") != F.col("_nearest.v")))
-        .select(F.col("v").alias("a"), F.col("_nearest.v").alias("b"))
+    # Parts of about even size, whatever the values are; every two of them meet in a task.
+    parts = F.ceil(F.col("_n") / (PART * most_compared)).cast("int")
+    dealt = met.filter(F.col("_n") > most_compared).withColumn("_parts", parts)
+    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64("v"), F.col("_parts")).cast("int"))
+    lists = dealt.groupBy(*key, "_parts", "_part").agg(F.collect_list("v").alias("members"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_other")
+    sides = lists.select(*key, "_part", "members", other).select(
+        *key, F.least("_part", "_other").alias("_low"), F.greatest("_part", "_other").alias("_high"), "members"
     )
-    return small.unionByName(hung).distinct()
+    large = (
+        sides.groupBy(*key, "_low", "_high")
+        .agg(F.flatten(F.collect_list("members")).alias("members"))
+        .select("members")
+        .mapInArrow(compared, "a long, b long")
+    )
+    return small.unionByName(large).distinct()
 
 
 def _forest(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -205,8 +192,18 @@ def drop_near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "t
     chosen = F.min(F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("id"), F.col("_text_key").alias("key")))
     kept = groups.groupBy("_root").agg(chosen.alias("_kept")).select(
         F.col("_kept.id").alias("_kept_doc"), F.col("_kept.key").alias("_kept_key")
-    ).distinct()
+    )
+    kept = cut(kept.distinct())
     plain, names = numbered(docs)
     keyed = plain.withColumn("_key", F.xxhash64(names[text]))
-    same = F.col(names[doc]).eqNullSafe(F.col("_kept_doc")) & (F.col("_key") == F.col("_kept_key"))
-    return named(keyed.join(cut(kept), same, "left_semi").dropDuplicates([names[doc], "_key"]), names)
+    chosen = F.col(names[doc]).eqNullSafe(F.col("_kept_doc")) & (F.col("_key") == F.col("_kept_key"))
+    # Chosen on ids and keys alone, so that texts stay where they are unless very many go or one is there twice.
+    each = groups.groupBy(F.col(doc).alias("_gone_doc"), F.col("_text_key").alias("_gone_key")).agg(F.count(F.lit(1)).alias("_n"))
+    one = F.col("_gone_doc").eqNullSafe(F.col("_kept_doc")) & (F.col("_gone_key") == F.col("_kept_key"))
+    told = cut(each.join(kept, one, "left").withColumn("_goes", F.col("_kept_key").isNull()).filter("_goes or _n > 1"))
+    going, twice = told.agg(F.count_if("_goes"), F.count_if(~F.col("_goes"))).first()
+    if going <= BROADCAST_ROWS and not twice:
+        gone = F.broadcast(told.select("_gone_doc", "_gone_key"))
+        same = F.col(names[doc]).eqNullSafe(F.col("_gone_doc")) & (F.col("_key") == F.col("_gone_key"))
+        return named(keyed.join(gone, same, "left_anti"), names)
+    return named(keyed.join(kept, chosen, "left_semi").dropDuplicates([names[doc], "_key"]), names)
