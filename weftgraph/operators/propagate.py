@@ -67,8 +67,13 @@ def iterate(
     senders: Column | None = None,
     totals: Mapping[str, Column] | None = None,
     max_iterations: int | None = None,
+    pause: Callable[[int], bool] | None = None,
 ) -> DataFrame:
-    """``propagate`` over edges that are laid out already."""
+    """``propagate`` over edges that are laid out already.
+
+    ``pause`` is asked after each round, with the number of vertices that changed in it; where it agrees, the state so far
+    is returned with its column ``_changed``, which it has in no other case.
+    """
     columns = [c for c in state.columns if c != "id"]
     totals = dict(totals or {})
     settles = not (totals or callable(message) or callable(update))
@@ -83,8 +88,11 @@ def iterate(
     number = 0
     while max_iterations is None or number < max_iterations:
         seen = dict(watch.get)
-        if not seen.pop("_changed") and settles:
+        changing = seen.pop("_changed")
+        if not changing and settles:
             break
+        if pause is not None and pause(changing):
+            return state
         number += 1
         step = Superstep(number, seen)
         sending = state if senders is None else state.where("_changed")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.storagelevel import StorageLevel
 
@@ -17,6 +19,11 @@ ROWS_WORTH_A_TASK = 50_000
 ROWS_WORTH_A_WAIT = 1_000_000
 
 
+def travels(module: str) -> None:
+    """Send the functions of a module to executors along with a job, so that it need not be installed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for cut state: the session's own setting, a temporary one only in local mode."""
     context = spark.sparkContext
@@ -32,6 +39,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    return _files(spark, path).exists(spark._jvm.org.apache.hadoop.fs.Path(path))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own in the shared folder, if it is there."""
+    _files(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def _files(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def cut(frame: DataFrame, observation: Observation | None = None, **metrics) -> DataFrame:
     """Materialise to the checkpoint folder and forget the lineage; fill ``observation`` on the way."""
     checkpoint_dir(frame.sparkSession)
