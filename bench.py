@@ -13,7 +13,7 @@ import sys
 import tempfile
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -42,6 +42,20 @@ def session(cpus: str) -> SparkSession:
     return spark
 
 
+def long_graphs(spark: SparkSession, sf_dir: str) -> dict[str, wg.Graph]:
+    """Graphs with many levels: a path, a grid of 150 by 150, and the chain of all customers."""
+    side = 150
+    cell = spark.range(side * side)
+    right = cell.where(F.col("id") % side < side - 1).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    down = cell.where(F.col("id") < side * (side - 1)).select(F.col("id").alias("src"), (F.col("id") + side).alias("dst"))
+    path = spark.range(4999).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    return {
+        "path_5000": wg.Graph.from_edges(path),
+        "grid_150": wg.Graph.from_edges(right.unionByName(down), directed=False),
+        "customer_chain": GRAPHS["customer_chain"](spark, sf_dir, True),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
@@ -75,6 +89,12 @@ def main() -> None:
     taken("triangles_copurchase", lambda: wg.triangles(graphs["copurchase_undirected"]))
     taken("transition_prob_copurchase", lambda: wg.transition_probabilities(graphs["copurchase_directed"]))
 
+    for name, graph in long_graphs(spark, sf_dir).items():
+        graph = graph.checkpoint()
+        taken(f"bfs_{name}", lambda: wg.bfs(graph, 0))
+        if graph.weighted:
+            taken(f"sssp_{name}", lambda: wg.sssp(graph, 0))
+
     line = {
         "metric": "load graphs and run six algorithms on each, total",
         "value": round(sum(seconds.values()), 3),

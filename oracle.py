@@ -25,6 +25,11 @@ v as materialized (select distinct id from l)""",
 e as materialized (
   select distinct 2 * l_suppkey + 1 as src, 2 * l_partkey as dst, 1.0::double as weight from lineitem), """
     + _ENDS,
+    "customer_chain": """
+e as materialized (
+  select a.c_custkey::bigint as src, b.c_custkey::bigint as dst, abs(a.c_acctbal - b.c_acctbal) + 1 as weight
+  from customer a join customer b on b.c_custkey = a.c_custkey + 1),
+v as materialized (select c_custkey::bigint as id from customer)""",
     "geography": """
 e as materialized (
   select 4 * n_nationkey::bigint + 1 as src, 4 * n_regionkey::bigint as dst, 1.0::double as weight from nation

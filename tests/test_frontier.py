@@ -8,10 +8,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from weftgraph import Graph, bfs, sssp
-from weftgraph.operators import blocks as layout
+from weftgraph import Graph, bfs, propagate, sssp
+from weftgraph.functions import reduced_by
+from weftgraph.operators import blocks as layout, propagate as propagation
 from weftgraph.operators import relax, runtime
 from weftgraph.operators.blocks import blocked
+from weftgraph.operators.layout import arranged
 from weftgraph.operators.relax import Work
 from weftgraph.plans import distances as plans
 
@@ -236,3 +238,45 @@ def test_a_block_alone():
     status = next(r for r in made if r["kind"] == relax.STATUS)
     assert (status["id"], status["light"], status["heavy"]) == (3, float("inf"), 2.0)
     assert relax.relax_block(0, state.slice(0, 0), edges, step).num_rows == 0
+
+
+@pytest.mark.parametrize(("fold", "named", "large"), [(1, 1000, 10**6), (10, 1000, 0), (3, 2, 0)])
+def test_rounds_that_write_what_changes(spark, monkeypatch, fold, named, large):
+    """Same results however often deltas are folded and whether rows are looked for by id."""
+    monkeypatch.setattr(propagation, "FOLD_ROUNDS", fold)
+    monkeypatch.setattr(propagation, "NAMED", named)
+    monkeypatch.setattr(propagation, "ROWS_WORTH_A_WAIT", large)
+    monkeypatch.setattr(propagation, "FEW", 0.5)
+    written = []
+    add = propagation.State.add
+    monkeypatch.setattr(propagation.State, "add", lambda self, rows, watch: written.append(watch.get["_changed"]) or add(self, rows, watch))
+    rng = random.Random(fold)
+    rows = [(i, i + 1, rng.choice([1.0, 2.0])) for i in range(14)] + [(rng.randrange(30), rng.randrange(30), 7.0) for _ in range(20)]
+    graph = weighted(spark, rows)
+    want = brute(rows, 0)
+    found = propagate(
+        graph,
+        graph.vertices.select("id", F.when(F.col("id") == 0, F.lit(0.0)).alias("far"), F.lit(None).cast("string").alias("note")),
+        message=F.col("far") + F.col("weight"),
+        combine=reduced_by(F.min),
+        update={"far": F.least("far", "msg"), "note": F.when(F.col("msg") < F.col("far"), F.lit("again")).otherwise(F.col("note"))},
+        senders=F.col("far").isNotNull(),
+        keeps=True,
+    )
+    assert found.columns == ["id", "far", "note"]
+    assert {r.id: r.far for r in found.collect()} == {v: want.get(v) for v in (r.id for r in graph.vertices.collect())}
+    assert len(written) > 5 and max(written) < 30
+
+
+def test_a_small_frontier_reads_few_batches(spark, monkeypatch):
+    batch = "spark.sql.inMemoryColumnarStorage.batchSize"
+    with runtime.settings(spark, {batch: 100}), arranged(path(spark, 5000).checkpoint()) as laid:
+        laid.cold.count()
+        some = laid.of(laid.cold, [17, 4000])
+        assert metric(some, "InMemoryTableScan", "numOutputRows") <= 200
+        base = spark.range(5000).withColumn("x", F.lit(1)).withColumn("_changed", F.lit(False))
+        base = runtime.cut(base.repartition(laid.partitions, "id").sortWithinPartitions("id"))
+        held = propagation.State(base, ["x"], 5000)
+        held.rows([5]).count()
+        assert metric(held.rows([17, 4000]), "InMemoryTableScan", "numOutputRows") <= 200
+        held.replace(base)

@@ -36,13 +36,20 @@ class Layout:
                     laid.count()
             self.source.unpersist()
 
-    def send(self, senders: DataFrame, message: Column) -> DataFrame:
-        """One ``(id, msg)`` row per edge leaving a sender; ``senders`` has ``src`` and the state columns."""
-        sent = self.cold.join(senders, "src").select("dst", message.alias("msg"))
+    def of(self, edges: DataFrame, ids: list[int] | None) -> DataFrame:
+        """Edges of few sources; the cache knows the least and greatest source of each batch and passes over the others."""
+        return edges if ids is None else edges.where(F.col("src").isin(ids))
+
+    def send(self, senders: DataFrame, message: Column, ids: list[int] | None = None) -> DataFrame:
+        """One ``(id, msg)`` row per edge leaving a sender; ``senders`` has ``src`` and the state columns.
+
+        ``ids`` are those of the senders, where they are few and known.
+        """
+        sent = self.of(self.cold, ids).join(senders, "src").select("dst", message.alias("msg"))
         if self.hot is None:
             return sent.withColumnRenamed("dst", "id")
         few = skew.repeated(senders, "src", self.hot)
-        more = self.spread.join(few, ["src", skew.SALT]).select("dst", message.alias("msg"))
+        more = self.of(self.spread, ids).join(few, ["src", skew.SALT]).select("dst", message.alias("msg"))
         return sent.unionByName(more).withColumnRenamed("dst", "id")
 
 

@@ -217,7 +217,8 @@ class _Search:
             if settled:
                 active |= {b for b, x in heavy.items() if x < bound}
             number += 1
-            arrived = self._round(number, sorted(active), bound, settled, work)
+            # Light edges are those that can stay within the step; it changes only when all below the bound is sent.
+            arrived = self._round(number, sorted(active), bound, width, settled, work)
 
     def _begin(self, reached: DataFrame) -> None:
         """Write the state that the search starts from; what is fresh there waits to be sent."""
@@ -233,11 +234,11 @@ class _Search:
             if row["least"] is not None:
                 self.waiting["light"][row["block"]] = row["least"]
 
-    def _round(self, number: int, active: list[int], bound: float, heavy: bool, work: Work) -> dict[int, float]:
+    def _round(self, number: int, active: list[int], bound: float, delta: float, heavy: bool, work: Work) -> dict[int, float]:
         """Run the active blocks; the blocks that messages go to, with the least distance of each."""
         folder = f"{self.folder}/round={number}"
         folded = frozenset(b for b in active if len(self.deltas[b]) >= FOLD_ROUNDS)
-        step = Step(bound, self.limit, self.blocks.mean_weight, heavy, folded, self.blocks.bounds, self.blocks.hot)
+        step = Step(bound, self.limit, delta, heavy, folded, self.blocks.bounds, self.blocks.hot)
         messages = self._read([f"round={number - 1}/kind={MESSAGE}"]).select(F.col("target").alias("block"), "id", "value", *_unknown("stored"))
         state = self._state(active)
         rows = messages.unionByName(state.select("block", "id", "value", "light", "heavy", F.col("value").alias("stored")))

@@ -29,6 +29,7 @@ def wcc(graph: Graph, *, max_iterations: int | None = None) -> DataFrame:
                 update={"component": F.least("component", "msg")},
                 senders=F.lit(True),
                 max_iterations=max_iterations,
+                keeps=True,
             )
         return _hook_and_jump(layout, graph.vertices)
 

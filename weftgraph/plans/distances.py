@@ -10,7 +10,7 @@ from weftgraph.operators.blocks import blocked
 from weftgraph.operators.layout import arranged
 from weftgraph.operators.propagate import iterate
 from weftgraph.operators.relax import Work, distances
-from weftgraph.operators.runtime import cut, partition_count, settings
+from weftgraph.operators.runtime import cut, partition_count
 
 # Fixed values standing for "not reached" in results.
 UNREACHED_HOPS = 9223372036854775807
@@ -84,7 +84,15 @@ def _nearest(
                 raise ValueError(f"negative edge weight {layout.least_weight}; set max_iterations to allow it")
             state = graph.vertices.select("id", found.alias(name))
             state = iterate(
-                layout, state, rules["message"], reduced_by(F.min), rules["update"], F.col(name).isNotNull(), max_iterations=rounds, pause=pause
+                layout,
+                state,
+                rules["message"],
+                reduced_by(F.min),
+                rules["update"],
+                F.col(name).isNotNull(),
+                max_iterations=rounds,
+                pause=pause,
+                keeps=True,
             )
         kind = state.schema[name].dataType
         missing = F.lit(unreachable).cast(kind)
@@ -93,6 +101,7 @@ def _nearest(
         reached = state.where(F.col(name).isNotNull()).select("id", F.col(name).cast("double").alias("value"), F.col("_changed").alias("fresh"))
         with blocked(graph, weighted=weighted) as blocks:
             nearest = distances(blocks, reached, limit=limit, work=work)
-            with settings(spark, {"spark.sql.shuffle.partitions": partition_count(spark, vertices)}):
-                value = F.coalesce(F.col("value").cast(kind), missing)
-                return cut(graph.vertices.select("id").join(nearest, "id", "left").select("id", value.alias(name)))
+            # Vertices may be far more than edges, so by their number.
+            every, nearest = (x.repartition(partition_count(spark, vertices), "id") for x in (graph.vertices.select("id"), nearest))
+            value = F.coalesce(F.col("value").cast(kind), missing)
+            return cut(every.join(nearest, "id", "left").select("id", value.alias(name)))

@@ -105,6 +105,17 @@ def geography(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
     return Graph.from_edges(edges, directed)
 
 
+def customer_chain(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
+    """Each customer to the one of the next key: few long paths, as many levels as customers.
+
+    The weight is one more than the difference of their balances.
+    """
+    own = _table(spark, folder, "customer").select(F.col("c_custkey").cast("long").alias("src"), F.col("c_acctbal").alias("q"))
+    following = own.select((F.col("src") - 1).alias("src"), F.col("src").alias("dst"), F.col("q").alias("balance"))
+    edges = own.join(following, "src").select("src", "dst", (F.abs(F.col("q") - F.col("balance")) + 1).alias("weight"))
+    return Graph.from_tables(own.select(F.col("src").alias("id")), edges, directed)
+
+
 def busiest_source(graph: Graph) -> int:
     """The vertex with most out-edges, the smallest id among equals."""
     counts = graph.edges.groupBy("src").agg(F.count(F.lit(1)).alias("rows"))
@@ -120,4 +131,5 @@ GRAPHS: dict[str, Callable[..., Graph]] = {
     "copurchase_all_parts": copurchase_all_parts,
     "supplier_part": supplier_part,
     "geography": geography,
+    "customer_chain": customer_chain,
 }
