@@ -147,15 +147,21 @@ def links(values: DataFrame, distance: int = DISTANCE, most_compared: int = MOST
 
 def _forest(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Each value with the smallest one that it reaches over links within the bucket."""
+    values = np.sort(values)
     near = np.bitwise_count((values[:, None] ^ values[None, :]).view(np.uint64)) <= distance
-    labels = values.copy()
-    while True:
-        lower = np.where(near, labels[None, :], np.iinfo(np.int64).max).min(axis=1)
-        if (lower == labels).all():
-            break
-        labels = lower
-    moved = labels != values
-    return list(zip(values[moved].tolist(), labels[moved].tolist(), strict=True))
+    left = near.sum(axis=1) > 1
+    found: list[tuple[int, int]] = []
+    for root in range(len(values)):
+        if not left[root]:
+            continue
+        # Smaller values that are left over would have reached this one. Each row is looked at once.
+        front = np.array([root])
+        left[root] = False
+        while len(front):
+            front = np.flatnonzero(near[front].any(axis=0) & left)
+            left[front] = False
+            found += [(v, int(values[root])) for v in values[front].tolist()]
+    return found
 
 
 def near_groups(
