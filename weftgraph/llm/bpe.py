@@ -12,6 +12,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -230,7 +231,8 @@ class Encoder:
         found = [self._words(text) for text in texts]
         if len(self._number) > WORDS_KEPT:
             self._forget()
-        new = {word for text in found for word in text if word not in self._number}
+        flat = list(chain.from_iterable(found))
+        new = set(flat).difference(self._number)
         long = [word for word in new if len(word) > TOGETHER]
         self._learn([word for word in new if len(word) <= TOGETHER])
         held = self._ids, self._bounds
@@ -238,7 +240,7 @@ class Encoder:
             ids = merged([self._of.singles[x] for x in word.encode()], self._of.ranks, self._of.made)
             self._add([word], np.array(ids, np.int32), np.array([len(ids)]))
         number = self._number
-        met = np.fromiter((number[word] for text in found for word in text), np.int64, sum(map(len, found)))
+        met = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
         begins, lengths = self._bounds[met], self._bounds[met + 1] - self._bounds[met]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         ids = self._ids[np.arange(ends[-1]) + np.repeat(begins - ends[:-1], lengths)]
