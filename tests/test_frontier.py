@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from weftgraph import Graph, bfs, propagate, sssp
+from weftgraph import Graph, bfs, propagate, sssp, wcc
 from weftgraph.functions import reduced_by
 from weftgraph.operators import blocks as layout, propagate as propagation
 from weftgraph.operators import relax, runtime
@@ -280,3 +280,25 @@ def test_a_small_frontier_reads_few_batches(spark, monkeypatch):
         held.rows([5]).count()
         assert metric(held.rows([17, 4000]), "InMemoryTableScan", "numOutputRows") <= 200
         held.replace(base)
+
+
+def test_a_loop_deletes_the_states_it_no_longer_reads(spark):
+    folder = runtime.checkpoint_dir(spark).removeprefix("file:")
+    graph = Graph.from_edges(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long")).checkpoint()
+    before = len(os.listdir(folder))
+    state = graph.vertices.select("id", F.col("id").alias("x"))
+    update = {"x": F.coalesce("msg", F.lit(0)).cast("long")}
+    found = propagate(graph, state, F.col("x") + 1, reduced_by(F.sum), update, max_iterations=50)
+    assert len(os.listdir(folder)) <= before + 2
+    assert sorted(map(tuple, found.collect())) == [(1, 52), (2, 53), (3, 51)]
+    wcc(path(spark, 300)).count()
+    assert len(os.listdir(folder)) <= before + 2 + 2
+
+
+def test_only_own_files_are_deleted(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/kept")
+    held = runtime.cut(spark.range(3).withColumn("x", F.lit(1)))
+    runtime.discard(held)
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 3
+    with pytest.raises(Exception, match="heckpoint|not exist|No such"):
+        held.collect()

@@ -13,7 +13,7 @@ from weftgraph.functions.combine import Combiner
 from weftgraph.graph import Graph
 from weftgraph.operators import skew
 from weftgraph.operators.layout import Layout, arranged
-from weftgraph.operators.runtime import ROWS_WORTH_A_WAIT, cut
+from weftgraph.operators.runtime import ROWS_WORTH_A_WAIT, cut, discard
 
 _RESERVED = {"src", "dst", "weight", "msg", "_changed", "_at", "_new", "_last", skew.SALT, skew.SALTS}
 
@@ -93,38 +93,43 @@ def iterate(
     layout.release()
     held = State(state, columns, watch.get["_vertices"])
     number = 0
-    while max_iterations is None or number < max_iterations:
-        seen = {name: value for name, value in watch.get.items() if name != "_vertices"}
-        changing = seen.pop("_changed")
-        if not changing and settles:
-            break
-        if pause is not None and pause(changing):
-            return held.whole().select("id", *columns, "_changed")
-        number += 1
-        step = Superstep(number, seen)
-        few = senders is not None and keeps and settles and changing < FEW * held.vertices
-        sending = held.whole() if senders is None else held.changed()
-        sending = sending.select(F.col("id").alias("src"), *columns)
-        offer = message(step) if callable(message) else message
-        near = few and held.vertices + layout.rows >= ROWS_WORTH_A_WAIT and changing <= NAMED
-        sent = combine(layout.send(sending, offer, _ids(sending, "src") if near else None))
-        new = update(step) if callable(update) else update
-        changed = F.lit(False)
-        for name, value in new.items():
-            changed = changed | ~F.col(name).eqNullSafe(value)
-        after = ["id", *[new.get(c, F.col(c)).alias(c) for c in columns], changed.alias("_changed")]
-        watch = Observation()
-        if few:
-            asked = None
-            if near:
-                sent = cut(sent)
-                asked = _ids(sent.limit(NAMED + 1), "id")
-            rows = held.rows(asked if asked is not None and len(asked) <= NAMED else None)
-            held.add(cut(rows.join(sent, "id").select(*after).where("_changed"), watch, _changed=F.count(F.lit(1))), watch)
-        else:
-            whole = held.rows().join(sent, "id", "left").select(*after)
-            held.replace(cut(whole, watch, _changed=F.count_if("_changed"), **totals))
-    return held.whole().select("id", *columns)
+    try:
+        while max_iterations is None or number < max_iterations:
+            seen = {name: value for name, value in watch.get.items() if name != "_vertices"}
+            changing = seen.pop("_changed")
+            if not changing and settles:
+                break
+            if pause is not None and pause(changing):
+                return held.whole().select("id", *columns, "_changed")
+            number += 1
+            step = Superstep(number, seen)
+            few = senders is not None and keeps and settles and changing < FEW * held.vertices
+            sending = held.whole() if senders is None else held.changed()
+            sending = sending.select(F.col("id").alias("src"), *columns)
+            offer = message(step) if callable(message) else message
+            near = few and held.vertices + layout.rows >= ROWS_WORTH_A_WAIT and changing <= NAMED
+            sent = combine(layout.send(sending, offer, _ids(sending, "src") if near else None))
+            new = update(step) if callable(update) else update
+            changed = F.lit(False)
+            for name, value in new.items():
+                changed = changed | ~F.col(name).eqNullSafe(value)
+            after = ["id", *[new.get(c, F.col(c)).alias(c) for c in columns], changed.alias("_changed")]
+            watch = Observation()
+            if few:
+                asked = None
+                if near:
+                    sent = cut(sent)
+                    asked = _ids(sent.limit(NAMED + 1), "id")
+                rows = held.rows(asked if asked is not None and len(asked) <= NAMED else None)
+                held.add(cut(rows.join(sent, "id").select(*after).where("_changed"), watch, _changed=F.count(F.lit(1))), watch)
+                if near:
+                    discard(sent)
+            else:
+                whole = held.rows().join(sent, "id", "left").select(*after)
+                held.replace(cut(whole, watch, _changed=F.count_if("_changed"), **totals))
+        return held.whole().select("id", *columns)
+    finally:
+        held.release()
 
 
 FEW = 0.2
@@ -164,10 +169,16 @@ class State:
             self.replace(cut(self.whole()))
 
     def replace(self, base: DataFrame) -> None:
-        """All rows anew."""
+        """All rows anew; the files that held them before are deleted."""
+        self.release()
+        discard(self._base, *self._deltas)
+        self._base, self._deltas, self._written = base, [], 0
+
+    def release(self) -> None:
+        """Let go of cached rows; they stay in the checkpoint folder."""
         if self._cached is not None:
             self._cached.unpersist()
-        self._base, self._cached, self._deltas, self._written = base, None, [], 0
+            self._cached = None
 
     def whole(self) -> DataFrame:
         """All rows as they are now, with ``_changed`` where the last round changed them."""

@@ -140,8 +140,9 @@ def relax_block(block: int, state: pa.Table, edges: pa.Table, step: Step) -> pa.
     ready = hot & (value < light) & (value < step.bound)
     heavy[hot] = np.where(ready, value, heavy)[hot]
     light[ready] = value[ready]
-    for column, of in ((light, light_of), (heavy, heavy_of)):
-        idle = (of.size == 0) & ~hot & (value < column)
+    # What is light may be another matter in the next step, so only vertices without any edges wait for none.
+    for column, none in ((light, light_of.size + heavy_of.size == 0), (heavy, (heavy_of.size == 0) & (value < step.bound))):
+        idle = (none | (light_of.size + heavy_of.size == 0)) & ~hot & (value < column)
         column[idle] = value[idle]
     changed = (value < stored) | (light < was_light) | (heavy < was_heavy)
     if block in step.folded:

@@ -60,6 +60,14 @@ def cut(frame: DataFrame, observation: Observation | None = None, **metrics) ->
     return frame.checkpoint(eager=True)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of tables that ``cut`` has written, once nothing reads them any more."""
+    for frame in frames:
+        file = frame._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            delete(frame.sparkSession, file.get())
+
+
 def hold(frame: DataFrame) -> DataFrame:
     """Cache a table, in as many partitions as its size calls for at run time."""
     with settings(frame.sparkSession, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}):

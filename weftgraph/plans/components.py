@@ -9,7 +9,7 @@ from weftgraph.graph import Graph
 from weftgraph.operators import skew
 from weftgraph.operators.layout import Layout, arranged
 from weftgraph.operators.propagate import iterate
-from weftgraph.operators.runtime import cut
+from weftgraph.operators.runtime import cut, discard
 
 
 def wcc(graph: Graph, *, max_iterations: int | None = None) -> DataFrame:
@@ -49,11 +49,13 @@ def _hook_and_jump(layout: Layout, vertices: DataFrame) -> DataFrame:
     layout.release()
     while True:
         watch = Observation()
-        state = cut(_hook(layout, state), watch, changed=F.count_if("_changed"), vertices=F.count(F.lit(1)))
+        before, state = state, cut(_hook(layout, state), watch, changed=F.count_if("_changed"), vertices=F.count(F.lit(1)))
+        discard(before)
         seen = watch.get
         if not seen["changed"]:
             return state.drop("_changed")
-        state = cut(_jump(state, seen["vertices"], layout.partitions))
+        before, state = state, cut(_jump(state, seen["vertices"], layout.partitions))
+        discard(before)
 
 
 def _lower(state: DataFrame, offer: Column, changed: Column) -> DataFrame:
