@@ -60,3 +60,44 @@ def test_empty_and_wordless(awkward):
 def test_rank_is_global(spark):
     ranked = mixing.ranked(spark.range(1000).selectExpr("(id * 37) % 1000 as x").repartition(7), __import__("pyspark").sql.functions.col("x"))
     assert all(r.x == r["rank"] for r in ranked.collect())
+
+
+def test_the_cut_is_made_in_the_merged_order(spark):
+    import heapq
+    import random
+
+    rng = random.Random(1)
+    sizes = {s: [rng.randint(0, 9) for _ in range(n)] for s, n in (("a", 300), ("b", 20), (None, 60))}
+    want = {s: float(x) for s, x in shares({s: sum(x) for s, x in sizes.items()}).items()}
+    rows, queue = [], []
+    for s, own in sizes.items():
+        for i, words in enumerate(own):
+            rows.append((len(rows), s, sum(own[:i]), words, sum(own), want[s]))
+            for turn in range(3):
+                begin = turn * sum(own) + sum(own[:i])
+                first = max(0, min(words, int(want[s]) - begin))
+                for start, length in ((begin, first), (begin + first, words - first)):
+                    if length and begin <= want[s]:
+                        heapq.heappush(queue, ((start + length) / want[s], s is None, s or "", start, rows[-1][0], turn, length))
+    placed = spark.createDataFrame(rows, "_id long, _source string, _start long, _words long, _source_size long, _target double").repartition(5)
+    for budget in (0, 1, 500, sum(int(x) for x in want.values())):
+        left, kept, rest = budget, {}, queue[:]
+        while rest and left:
+            *_, name, turn, length = heapq.heappop(rest)
+            kept[name, turn] = kept.get((name, turn), 0) + min(left, length)
+            left -= min(left, length)
+        got = {}
+        for row in mixing.served(mixing.queued(placed), budget).collect():
+            got[row["_id"], row["_pass"]] = got.get((row["_id"], row["_pass"]), 0) + row["_kept"]
+        assert got == kept
+
+
+def test_many_rows_that_agree_are_numbered_across_partitions(awkward):
+    rows = [(7, "a b c", "en", "s")] * 50 + [(None, "d e", "en", "s")] * 20 + [(8, "x " * 400, "en", "t")]
+    found = mixing.schedule(awkward(rows).repartition(6)).collect()
+    starts = sorted(r.start for r in found if r.source == "s")
+    by_size = {n: sorted(r.start for r in found if r.source == "s" and r.size == n) for n in (2, 3)}
+    assert all(b - a == n for n, own in by_size.items() for a, b in zip(own, own[1:])) and len(set(starts)) == 70
+    for source in "st":
+        own = [r for r in found if r.source == source]
+        assert sum(r.taken for r in own) == int(own[0].target) and all(r.taken <= 3 * r.size for r in own)

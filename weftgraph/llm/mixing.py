@@ -1,9 +1,9 @@
 """Sources mixed to target weights by weighted fair queueing.
 
 Within a source documents are shuffled, and each copy of a document gets a virtual finish time: the source's
-words up to its end over the source's target. All sources reach time one together, with the budget used up,
-so the mix is all copies in order of that time, cut off at one. The document that a source is serving then is
-cut at the word.
+words up to its end over the source's target. A copy that is being served at time one is split at the last whole
+word before it. All copies of all sources are then sorted by finish time, their words are summed in that order,
+and what lies beyond the budget is cut off. This is done on ids and sizes; texts join the result.
 """
 
 from __future__ import annotations
@@ -15,26 +15,35 @@ from weftgraph.operators.runtime import cut
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
-BUCKET_DIGITS = 3
-"""Hex digits of the shuffle key that split a source into parts to be summed apart."""
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ordered(frame: DataFrame, *order: Column) -> DataFrame:
+    """``frame`` sorted into ranges, ``_part``, and numbered upward in that order, ``_at``; no task sees more than its range."""
+    held = cut(frame.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    return held.withColumn("_part", F.shiftright("_at", 33))
+
+
+def summed(frame: DataFrame, value: Column, *within: str) -> DataFrame:
+    """``frame``, as ``ordered`` gives it, with the sum of ``value`` over all earlier rows as ``_before``.
+
+    With ``within``, over those that agree in these columns. A range is summed by one task, the sums of ranges have
+    one row for each range and value of ``within`` in it.
+    """
+    parts = frame.groupBy("_part", *within).agg(F.sum(value).alias("_sum"))
+    spans = (Window.unboundedPreceding, -1)
+    earlier = F.sum("_sum").over(Window.partitionBy(*within).orderBy("_part").rowsBetween(*spans))
+    parts = parts.select("_part", *within, F.coalesce(earlier, F.lit(0)).alias("_offset"))
+    inside = F.sum(value).over(Window.partitionBy("_part", *within).orderBy("_at").rowsBetween(*spans))
+    same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in ("_part", *within)]
+    joined = frame.withColumn("_inside", F.coalesce(inside, F.lit(0))).alias("l").join(parts.alias("r"), same)
+    return joined.select("l.*", (F.col("_offset") + F.col("_inside")).alias("_before")).drop("_inside")
+
+
 def ranked(frame: DataFrame, *order: Column) -> DataFrame:
     """``frame`` with its position in a global order, from 0, as ``rank``; no task sees more than its range."""
-    held = cut(frame.orderBy(*order)).withColumn("_part", F.spark_partition_id())
-    parts = held.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    # One row for each partition.
-    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = parts.select("_part", before.alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return (
-        held.withColumn("_place", place)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn("rank", F.col("_before") + F.col("_place") - 1)
-        .drop("_part", "_place", "_before")
-    )
+    return summed(ordered(frame, *order), F.lit(1)).withColumnRenamed("_before", "rank").drop("_at", "_part")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -69,6 +78,36 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     )
 
 
+def queued(placed: DataFrame, most: int = MOST_COPIES) -> DataFrame:
+    """The queue: ``_id, _pass, _begin, _words, _finish`` for each copy in each of ``most`` passes over its source.
+
+    ``placed`` has ``_id, _source, _start, _words, _source_size, _target``: words of the source before, and in, each entry.
+    A copy with words on both sides of virtual time one is two entries. Passes that begin after that time are
+    not queued.
+    """
+    passes = placed.withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+    passes = passes.withColumn("_begin", F.col("_pass") * F.col("_source_size") + F.col("_start"))
+    first = F.greatest(F.lit(0), F.least("_words", F.floor("_target") - F.col("_begin"))).cast("long")
+    pieces = F.array(
+        F.struct("_begin", first.alias("_words")),
+        F.struct((F.col("_begin") + first).alias("_begin"), (F.col("_words") - first).alias("_words")),
+    )
+    return (
+        passes.filter("_words > 0 and _begin <= _target")
+        .select("_id", "_source", "_pass", "_target", F.explode(pieces).alias("_piece"))
+        .select("_id", "_source", "_pass", "_target", "_piece.*")
+        .filter("_words > 0")
+        .withColumn("_finish", (F.col("_begin") + F.col("_words")) / F.col("_target"))
+    )
+
+
+def served(queue: DataFrame, budget: int) -> DataFrame:
+    """``queue`` in order of finish time, ties by source and begin, cut at ``budget`` words: what is left, as ``_kept``."""
+    merged = summed(ordered(queue, F.col("_finish"), F.col("_source").asc_nulls_last(), F.col("_begin")), F.col("_words"))
+    kept = F.least("_words", F.lit(budget) - F.col("_before")).cast("long")
+    return merged.withColumn("_kept", kept).filter("_kept > 0")
+
+
 def schedule(
     docs: DataFrame,
     *,
@@ -81,57 +120,70 @@ def schedule(
 ) -> DataFrame:
     """All rows of ``docs`` with ``size`` (words), ``source_size``, ``target``, ``start`` and ``taken``.
 
-    Columns of ``docs`` that have one of these names are replaced. ``start`` is how many of its source's words come before the document in each pass over the source, and
-    ``taken`` how many of its words the mix takes, repeats counted. Order within a source follows a digest of
-    ``seed`` and the document id, so that runs agree; rows of one id follow their texts, and equal rows are
-    interchangeable. Null and empty texts have size 0 and are never taken; null is a source of its own.
+    Columns of ``docs`` that have one of these names are replaced. ``start`` is how many of its source's words come
+    before the document in each pass over the source, and ``taken`` how many of its words the mix takes, repeats
+    counted. The budget is the sum of all targets in whole words. Order within a source follows a digest of ``seed`` and
+    the document id, so that runs agree; rows of one id follow a hash of their texts, and rows that agree in id, text
+    and source follow one another and are interchangeable. Null and empty texts have size 0 and are never taken; null is a
+    source of its own. No rows give no rows.
     """
     plain, names = numbered(docs)
     planned = _schedule(plain, names[doc], names[text], names[source], weights, most, seed)
+    taken = sum(F.col("_taken")[copy] for copy in range(most))
     added = ["size", "source_size", "target", "start", "taken"]
-    return named(planned.withColumnsRenamed({f"_{x}": x for x in added}), names, *added)
+    planned = planned.withColumn("_taken", taken).withColumnsRenamed({f"_{x}": x for x in added})
+    return named(planned, names, *added)
 
 
 def _schedule(
     docs: DataFrame, doc: str, text: str, source: str, weights: tuple[int, ...], most: int, seed: str
 ) -> DataFrame:
-    key = F.md5(F.concat(F.coalesce(F.col(doc).cast("string"), F.lit("")), F.lit(f":{seed}")))
-    sized = docs.withColumns(
-        {
-            "_source": F.col(source),
-            "_size": F.coalesce(F.regexp_count(F.col(text), F.lit(_WORD)), F.lit(0)).cast("long"),
-            "_key": key,
-            "_tie": F.xxhash64(text),
-            "_bucket": F.substring(key, 1, BUCKET_DIGITS),
-        }
-    )
-    parts = cut(sized.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_part_size")))
-    share = targets(parts.groupBy("_source").agg(F.sum("_part_size").alias("_source_size")), weights, most)
-    earlier = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("_source", "_bucket", F.coalesce(F.sum("_part_size").over(earlier), F.lit(0)).alias("_before"))
-    same = F.col("l._source").eqNullSafe(F.col("r._source"))
-    offsets = offsets.alias("l").join(share.alias("r"), same).select("l.*", "r._source_size", "r._target")
-    inside = (
-        Window.partitionBy("_source", "_bucket").orderBy("_key", doc, "_tie").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = sized.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-    on = same & (F.col("l._bucket") == F.col("r._bucket"))
-    taken = sum(
-        F.greatest(
-            F.lit(0), F.least("_size", F.floor("_target") - F.lit(copy) * F.col("_source_size") - F.col("_start"))
-        )
-        for copy in range(most)
-    )
+    """``docs`` with ``_size, _source_size, _target, _start`` and ``_taken``, an array of the words taken in each pass."""
+    same = ["_source", "_doc", "_tie"]
+    keys = {"_source": F.col(source), "_doc": F.col(doc), "_tie": F.xxhash64(text)}
+    size = F.coalesce(F.regexp_count(F.col(text), F.lit(_WORD)), F.lit(0)).cast("long")
+    # Rows that agree are one run of as many words as all of them have.
+    runs = docs.select(*[value.alias(name) for name, value in keys.items()], size.alias("_size"))
+    runs = runs.groupBy(*same).agg(F.first("_size").alias("_size"), F.count(F.lit(1)).alias("_rows"))
+    runs = runs.withColumn("_words", F.col("_size") * F.col("_rows"))
+    key = F.md5(F.concat(F.coalesce(F.col("_doc").cast("string"), F.lit("")), F.lit(f":{seed}")))
+    line = ordered(runs, F.col("_source"), key, F.col("_doc"), F.col("_tie"))
+    share = cut(targets(line.groupBy("_source").agg(F.sum("_words").alias("_source_size")), weights, most))
+    placed = summed(line, F.col("_words"), "_source").withColumnsRenamed({"_at": "_id", "_before": "_start"})
+    on = F.col("l._source").eqNullSafe(F.col("r._source"))
+    placed = cut(placed.alias("l").join(share.alias("r"), on).select("l.*", "r._source_size", "r._target").drop("_part"))
+    total = share.agg(F.sum(F.floor("_target"))).first()[0] or 0
+    passes = [F.coalesce(F.sum(F.when(F.col("_pass") == copy, F.col("_kept"))), F.lit(0)) for copy in range(most)]
+    kept = served(queued(placed, most), total).groupBy("_id").agg(F.array(*passes).alias("_run"))
+    placed = cut(placed.join(kept, "_id", "left").drop("_id"))
+    on = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in same]
+    full = docs.withColumns(keys | {"_from": F.spark_partition_id()}).alias("l").join(placed.alias("r"), on)
+    full = full.select("l.*", *[f"r.{name}" for name in placed.columns if name not in same]).withColumn("_nth", F.lit(0))
+    if not placed.filter("_rows > 1").isEmpty():
+        full = _nth(full, same)
+    done = F.col("_nth") * F.col("_size")
+    row = F.transform("_run", lambda run: F.greatest(F.lit(0), F.least("_size", run - done)).cast("long"))
+    none = F.array(*[F.lit(0).cast("long")] * most)
     return (
-        placed.alias("l")
-        .join(offsets.alias("r"), on)
-        .select("l.*", "r._before", "r._source_size", "r._target")
-        .withColumn("_start", F.col("_before") + F.col("_inside"))
-        .withColumn("_taken", taken.cast("long"))
-        .drop("_source", "_key", "_tie", "_bucket", "_inside", "_before")
+        full.withColumn("_start", F.col("_start") + done)
+        .withColumn("_taken", F.coalesce(row, none))
+        .drop(*same, "_from", "_rows", "_run", "_nth", "_words")
     )
 
 
+def _nth(full: DataFrame, same: list[str]) -> DataFrame:
+    """Rows with their number among those that agree, from 0, counted for each partition they come from."""
+    again = cut(full.filter("_rows > 1").drop("_nth"))
+    counts = again.groupBy(*same, "_from").agg(F.count(F.lit(1)).alias("_count"))
+    earlier = Window.partitionBy(*same).orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_earlier", F.coalesce(F.sum("_count").over(earlier), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(*same, "_from").orderBy("_tie")) - 1
+    on = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in (*same, "_from")]
+    again = again.withColumn("_place", inside).alias("l").join(counts.alias("r"), on).select("l.*", "r._earlier")
+    again = again.withColumn("_nth", F.col("_earlier") + F.col("_place")).drop("_earlier", "_place")
+    return full.filter("_rows = 1").unionByName(again)
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -145,22 +197,17 @@ def mix(
     """The mixed corpus: copies of ``docs`` in mix order, with ``copy`` (from 0), ``taken`` and ``finish``.
 
     A copy that the budget cuts keeps its first ``taken`` words, joined by blanks. Columns of ``docs`` that have one of
-    the added names are replaced. Order and ties are as in ``schedule``.
+    the added names are replaced. Order, ties, nulls and empty texts are as in ``schedule``.
     """
     plain, names = numbered(docs)
     body = names[text]
-    planned = _schedule(plain, names[doc], body, names[source], weights, most, seed).filter("_taken > 0")
-    copies = planned.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(most - 1)))).withColumn(
-        "_begin", F.col("copy") * F.col("_source_size") + F.col("_start")
-    )
-    taken = F.least(F.col("_size"), F.floor("_target") - F.col("_begin")).cast("long")
+    planned = _schedule(plain, names[doc], body, names[source], weights, most, seed)
+    copies = planned.select("*", F.posexplode("_taken").alias("copy", "taken")).filter("taken > 0")
     words = F.filter(F.split(F.col(body), r"[\x20\x09-\x0D]+"), lambda x: x != "")
     first = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(1), F.col("taken")).cast("int")), " ")
-    copies = (
-        copies.withColumn("taken", taken)
-        .filter("taken > 0")
-        .withColumn(body, F.when(F.col("taken") == F.col("_size"), F.col(body)).otherwise(first))
-        .withColumn("finish", (F.col("_begin") + F.col("taken")) / F.col("_target"))
-    )
+    begin = F.col("copy") * F.col("_source_size") + F.col("_start")
+    copies = copies.withColumn(
+        body, F.when(F.col("taken") == F.col("_size"), F.col(body)).otherwise(first)
+    ).withColumn("finish", (begin + F.col("taken")) / F.col("_target"))
     order = ["finish", names[doc]]
     return named(copies.repartitionByRange(*order).sortWithinPartitions(*order), names, "copy", "taken", "finish")
