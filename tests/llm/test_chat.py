@@ -1,5 +1,8 @@
 import random
 
+import pyarrow as pa
+import pytest
+
 from weftgraph.llm import chat
 
 PARTS = ["</s>", "[INST]", "[/INST]", "<s>", "\\", "<|", "<<SYS>>", "é", " ", "\n", "ok", "[", "<", "/", "\\[INST]", "😀"]
@@ -29,3 +32,21 @@ def test_round_trip(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert chat.format_chat(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+@pytest.mark.parametrize("gather, size", [(1, 1), (7, 40), (1000, 300)])
+def test_slices_make_the_same(monkeypatch, gather, size):
+    rng = random.Random(gather)
+    text = lambda: "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 12)))
+    rows = sorted((rng.randint(0, 30), rng.choice(["", "user", "assistant"]), text()) for _ in range(120))
+    rows = [(None if c == 30 else c, role, said) for c, role, said in rows]
+    schema = pa.schema([("conv", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+    batches = pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema).to_batches(50)
+    whole = pa.Table.from_batches(chat._conversations(iter(batches), "assistant")).to_pylist()
+    monkeypatch.setattr(chat, "GATHER_BYTES", gather)
+    monkeypatch.setattr(chat, "SLICE_BYTES", size)
+    cut = list(chat._conversations(iter(batches), "assistant"))
+    assert [row for batch in cut for row in batch.to_pylist()] == whole
+    assert len(cut) > 3 and [r["conv"] for r in whole] == list(dict.fromkeys(r[0] for r in rows))
+    for row in whole:
+        assert chat.parse(row["formatted"]) == [(role, said) for c, role, said in rows if c == row["conv"]]

@@ -18,6 +18,9 @@ OPEN, MIDDLE, CLOSE = "[INST]", "[/INST]", "</s>"
 #: Strings with a meaning to this template or to common tokenizers.
 CONTROLS = ("[INST]", "[/INST]", "<s>", "</s>", "<|", "<<SYS>>", "<</SYS>>")
 TRAINED_ROLE = "assistant"
+# Text put together at a time, and bytes whose places are held at a time, 16 each.
+SLICE_BYTES = 1 << 25
+GATHER_BYTES = 1 << 22
 
 _TURN = re.compile(re.escape(OPEN) + "(.*?)" + re.escape(MIDDLE) + "(.*?)" + re.escape(CLOSE), re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
@@ -73,7 +76,12 @@ def assemble(roles: pa.Array, texts: pa.Array, bounds: np.ndarray, trained: str)
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if turns else 0
     out = np.empty(total, np.uint8)
-    np.take(source, np.arange(total) - np.repeat(ends - lengths - begins, lengths), out=out)
+    starts = ends - lengths
+    for a in range(0, total, GATHER_BYTES):
+        b = min(a + GATHER_BYTES, total)
+        part = slice(np.searchsorted(ends, a, "right"), np.searchsorted(ends, b, "left") + 1)
+        counts = np.minimum(ends[part], b) - np.maximum(starts[part], a)
+        out[a:b] = source[np.arange(a, b) - np.repeat((starts - begins)[part], counts)]
     offsets = np.concatenate([[0], ends[4::5]])[bounds]
     formatted = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(offsets), pa.py_buffer(out))
     learned = np.flatnonzero(np.asarray(pc.equal(roles, trained).to_pylist(), bool))
@@ -87,6 +95,16 @@ def assemble(roles: pa.Array, texts: pa.Array, bounds: np.ndarray, trained: str)
 def _conversations(batches: Iterator[pa.RecordBatch], trained: str) -> Iterator[pa.RecordBatch]:
     """Batches of whole conversations out of sorted turns; the last one of a batch waits for the next batch."""
 
+    def parts(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Conversations together up to ``SLICE_BYTES`` of text, or one."""
+        sizes = pc.add(pc.binary_length(table.column("role")), pc.binary_length(table.column("text")))
+        upto = np.concatenate([[0], np.cumsum(sizes.to_numpy().astype(np.int64))])[bounds]
+        begin = 0
+        while begin < len(bounds) - 1:
+            end = max(begin + 1, int(np.searchsorted(upto, upto[begin] + SLICE_BYTES, "right")) - 1)
+            yield made(table.slice(bounds[begin], bounds[end] - bounds[begin]), bounds[begin : end + 1] - bounds[begin])
+            begin = end
+
     def made(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
         column = lambda name: pa.concat_arrays(table.column(name).chunks)
         formatted, mask = assemble(column("role"), column("text"), bounds, trained)
@@ -105,7 +123,7 @@ def _conversations(batches: Iterator[pa.RecordBatch], trained: str) -> Iterator[
         table = pa.Table.from_batches([*waiting, batch])
         bounds = _bounds(table.column("conv").combine_chunks())
         if len(bounds) > 2:
-            yield made(table.slice(0, bounds[-2]), bounds[:-1])
+            yield from parts(table.slice(0, bounds[-2]), bounds[:-1])
         waiting = table.slice(bounds[-2]).to_batches()
     if waiting:
         table = pa.Table.from_batches(waiting)
@@ -140,7 +158,8 @@ def format_chat(
     ``mask`` lists the byte ranges of ``formatted`` in UTF-8 that hold the texts of ``trained_role``. Turns
     are in order of ``turn``, null first; turns of one number are in order of role and text and all kept. A null role or
     text is empty; rows without a conversation id form one conversation of their own. A conversation is one
-    string and so made in one task. Other columns are ignored.
+    string and so made in one task, as large as a string can be (2 GiB). Conversations are put together up to
+    ``SLICE_BYTES`` of text at a time. Other columns are ignored.
     """
     source = turns.select(
         F.col(conv).alias("conv"),
