@@ -11,7 +11,7 @@ from weftgraph.llm.lines import drop_repeated_lines
 from weftgraph.llm.mixing import mix
 from weftgraph.llm.simhash import drop_near_duplicates
 from weftgraph.llm.toxicity import drop_toxic
-from weftgraph.operators.runtime import checkpoint_dir
+from weftgraph.operators.runtime import checkpoint_dir, delete
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,10 +62,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared checkpoint folder and read again."""
+    """All stages over ``documents``, each written to the shared checkpoint folder and read again.
+
+    What a stage has read is deleted once its own result is written; the last result stays in the folder.
+    """
     folder = f"{checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            delete(spark, f"{folder}/{before}")
+        docs, before = spark.read.parquet(f"{folder}/{name}"), name
     return docs
