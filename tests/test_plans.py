@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from weftgraph import Graph, bfs, cdlp, lcc, pagerank, sssp, wcc
+from weftgraph import Graph, bfs, cdlp, dangling_count, in_degree, lcc, neighbour_count, out_degree, pagerank, sssp, total_degree, triangles, wcc
 from weftgraph.functions import reduced_by
 from weftgraph.operators.layout import arranged
 from weftgraph.operators.runtime import cut
-from weftgraph.sources.tables import LINE_NUMBERS, copurchase_edges, order_lines
+from weftgraph.sources.tables import LINE_NUMBERS, copurchase, copurchase_edges, order_lines
 
 
 def plan(frame):
@@ -65,3 +65,68 @@ def test_a_loop_keeps_one_copy_of_the_edges(spark):
     with arranged(graph) as layout:
         layout.release()
         assert len(spark.sparkContext._jsc.getPersistentRDDs()) == 1
+
+
+def test_lines_meet_across_blocks_of_numbers(spark, tmp_path):
+    """Against every two lines compared: long orders, numbers below zero, repeats and nulls."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(o, rng.randint(-40, 60), rng.randint(1, 30), float(rng.randint(1, 50))) for o in (1, 2, 3) for _ in range(90)]
+    rows += [(4, 7, 1, 2.0), (4, 8, 2, 9.0), (4, 8, 2, 9.0), (4, 24, 3, 1.0), (None, 7, 1, 2.0), (4, None, 5, 2.0), (4, 7, None, 2.0)]
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    whole = [r for r in rows if None not in r]
+    for reach in (1, 6, 20):
+        want = {}
+        for o, n, p, q in whole:
+            for o2, n2, p2, q2 in whole:
+                if o == o2 and 1 <= n2 - n <= reach and p != p2:
+                    want[p, p2] = min(want.get((p, p2), 99.0), abs(q - q2) + 1)
+        assert {(r.src, r.dst): r.weight for r in copurchase_edges(spark, str(tmp_path), reach).collect()} == want
+
+
+def test_lines_are_shuffled_once_and_pairs_once(spark, tmp_path):
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double"
+    spark.createDataFrame([(1, 1, 5, 50.0), (1, 2, 6, 47.0)], schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for graph in (order_lines, copurchase):
+        for directed in (True, False):
+            text = plan(graph(spark, str(tmp_path), directed).edges)
+            assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+
+
+def test_degrees_derive_the_edges_once(spark):
+    """Vertices come from the edges too; a task reads each input row once for both."""
+    for find in (out_degree, in_degree, total_degree, neighbour_count, dangling_count):
+        seen = spark.sparkContext.accumulator(0)
+
+        def watched(rows, seen=seen):
+            for row in rows:
+                seen.add(1)
+                yield row
+
+        source = spark.createDataFrame(spark.sparkContext.parallelize([(1, 2), (2, 3), (3, 3)], 1).mapPartitions(watched), "src long, dst long")
+        find(Graph.from_edges(source)).collect()
+        assert seen.value == 3, find
+
+
+def test_lists_of_an_undirected_graph_hold_short_ids(spark):
+    """Links are one number and ids of neighbours four bytes, where ids are near each other; elsewhere the same triangles are found."""
+    from weftgraph.operators.triangles import Codes
+
+    edges = [(1, 2), (2, 3), (1, 3), (3, 4), (2, 4)]
+    for shift in (0, -(1 << 40), (1 << 62) - 1):
+        for far in (0, 1 << 40):
+            move = lambda i: i + shift + (far if i > 2 else 0)  # noqa: E731, B023
+            graph = Graph.from_edges(spark.createDataFrame([(move(a), move(b)) for a, b in edges], "src long, dst long"), directed=False)
+            want = {tuple(map(move, t)) for t in ((1, 2, 3), (2, 3, 4))}
+            assert {tuple(r) for r in triangles(graph).collect()} == want
+    assert Codes.of(5, 5 + (1 << 31) - 1, 3).short and not Codes.of(5, 5 + (1 << 31), 3).short
+    assert not Codes.of(0, 5, 1 << 30).short and Codes.of(None, None, None).short
+
+
+def test_loops_have_no_more_partitions_than_cores_and_memory_ask_for(spark):
+    """Messages to a vertex are combined within a partition, so that more of them shuffle more messages."""
+    edges = spark.range(9_000_000).select((F.col("id") % 1009).alias("src"), (F.col("id") % 997).alias("dst"))
+    with arranged(Graph.from_edges(edges)) as layout:
+        assert layout.partitions == spark.sparkContext.defaultParallelism

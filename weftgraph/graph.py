@@ -110,6 +110,15 @@ class Graph:
             if ours:
                 self.edges.unpersist()
 
+    @contextmanager
+    def ends_held(self) -> Iterator[Graph]:
+        """The graph without edge values, its edge table cached while the block runs, unless the caller has cached the edges."""
+        if self.edges.storageLevel != StorageLevel.NONE:
+            yield self.unweighted()
+        else:
+            with self.unweighted().held() as graph:
+                yield graph
+
 
 def both_ways(edges: DataFrame) -> DataFrame:
     """Each row and its reverse, from one pass over the table."""
@@ -160,11 +169,14 @@ def _listed_both_ways(edges: DataFrame) -> DataFrame:
         pairs = edges.groupBy(low, high).agg(F.min("weight").alias("weight"))
     else:
         pairs = edges.select(low, high).distinct()
-    loops = F.col("src") == F.col("dst")
-    return both_ways(pairs.where(~loops)).unionByName(pairs.where(loops))
+    ends = lambda src, dst: F.struct(F.col(src).alias("src"), F.col(dst).alias("dst"))
+    ways = F.array_distinct(F.array(ends("src", "dst"), ends("dst", "src")))
+    return pairs.select(F.inline(ways), *[c for c in pairs.columns if c not in ("src", "dst")])
 
 
 def _ends(edges: DataFrame, directed: bool) -> DataFrame:
+    # From the two columns that ``Graph.ends_held`` caches.
+    edges = edges.select("src", "dst")
     if not directed:
         return edges.select(F.col("src").alias("id"))
     return edges.select(F.explode(F.array("src", "dst")).alias("id"))

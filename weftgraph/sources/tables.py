@@ -14,6 +14,8 @@ from weftgraph.graph import Graph
 
 # By default, lines of one order up to this many numbers apart make their parts neighbours.
 REACH = 6
+# Line numbers that meet in one group, at least.
+BLOCK = 16
 # Line numbers below this fit an order line's id.
 LINE_NUMBERS = 1 << 20
 
@@ -22,32 +24,59 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _meeting(lines: DataFrame, reach: int) -> DataFrame:
+    """``(first, second)``: every two of ``lines(order, number, ...)`` of which the second is up to ``reach`` numbers ahead, as rows.
+
+    Lines are gathered by order and block of numbers, so that each is shuffled once. A block's lines meet those of its own
+    and the first ``reach`` numbers of the next; blocks are shifted by half, so that orders of few lines lie within one.
+    Lines that come twice count once.
+    """
+    span = max(BLOCK, 2 * reach)
+    at = F.col("number") + span // 2
+    block = F.floor(at / span)
+    # Numbers that the block before reaches are in that block too.
+    blocks = F.when(F.pmod(at, F.lit(span)) < reach, F.array(block, block - 1)).otherwise(F.array(block))
+    own = [c for c in lines.columns if c != "order"]
+    gathered = lines.select("order", F.explode(blocks).alias("block"), F.struct(*own).alias("line"))
+    together = gathered.groupBy("order", "block").agg(F.collect_set("line").alias("lines")).where(F.size("lines") > 1)
+    first = together.select("block", "lines", F.explode("lines").alias("first"))
+    first = first.where(F.floor((F.col("first.number") + span // 2) / span) == F.col("block"))
+    ahead = F.filter("lines", lambda line: (line["number"] - F.col("first.number")).between(1, reach))
+    return first.select("first", F.explode(ahead).alias("second"))
+
+
+def _least(pairs: DataFrame) -> DataFrame:
+    """One row per (src, dst), as a directed graph needs; an undirected one takes the least weight of either direction itself."""
+    return pairs.groupBy("src", "dst").agg(F.min("weight").alias("weight"))
+
+
+def copurchase_pairs(spark: SparkSession, folder: str, reach: int = REACH) -> DataFrame:
+    """``(src, dst, weight)``, a row for every two lines of an order, up to ``reach`` numbers apart, with different parts."""
+    lines = _table(spark, folder, "lineitem").select(
+        F.col("l_partkey").alias("part"),
+        F.col("l_orderkey").alias("order"),
+        F.col("l_linenumber").cast("long").alias("number"),
+        F.col("l_quantity").alias("quantity"),
+    )
+    lines = lines.where(F.col("part").isNotNull() & F.col("order").isNotNull() & F.col("number").isNotNull())
+    src, dst = F.col("first.part").alias("src"), F.col("second.part").alias("dst")
+    weight = F.abs(F.col("first.quantity") - F.col("second.quantity")) + 1
+    return _meeting(lines, reach).select(src, dst, weight.alias("weight")).where(F.col("src") != F.col("dst"))
+
+
 def copurchase_edges(spark: SparkSession, folder: str, reach: int = REACH) -> DataFrame:
     """``(src, dst, weight)``: from the part of an order line to other parts on the next ``reach`` line numbers.
 
     Numbers repeat within an order and every line counts. The weight is one plus the least difference in
     quantity over all pairs of lines. Matching by exact number keeps an order's pairs in proportion to its lines.
     """
-    lines = (
-        _table(spark, folder, "lineitem")
-        .select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"))
-        .distinct()
-    )
-    ahead = F.explode(F.sequence(F.lit(1), F.lit(reach)))
-    first = lines.select("l_orderkey", F.col("part").alias("src"), F.col("quantity").alias("q"), "l_linenumber", ahead)
-    first = first.select("l_orderkey", "src", "q", (F.col("l_linenumber") + F.col("col")).alias("l_linenumber"))
-    second = lines.withColumnRenamed("part", "dst")
-    return (
-        first.join(second, ["l_orderkey", "l_linenumber"])
-        .where(F.col("src") != F.col("dst"))
-        .groupBy("src", "dst")
-        .agg((F.min(F.abs(F.col("q") - F.col("quantity"))) + 1).alias("weight"))
-    )
+    return _least(copurchase_pairs(spark, folder, reach))
 
 
 def copurchase(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
     """Parts bought together, from all order lines."""
-    return Graph.from_edges(copurchase_edges(spark, folder), directed)
+    found = copurchase_edges if directed else copurchase_pairs
+    return Graph.from_edges(found(spark, folder), directed)
 
 
 def order_lines(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
@@ -58,25 +87,22 @@ def order_lines(spark: SparkSession, folder: str, directed: bool = True) -> Grap
     """
     fits = F.col("l_linenumber").between(0, LINE_NUMBERS - 1)
     number = F.when(fits, F.col("l_linenumber")).otherwise(F.raise_error(F.lit("line number does not fit an id")))
-    id = F.col("l_orderkey").cast("long") * LINE_NUMBERS + number
-    rows = _table(spark, folder, "lineitem").select(
-        id.alias("src"), F.col("l_quantity").alias("q"), (id + 1).alias("dst"), (number + 1 < LINE_NUMBERS).alias("more")
-    )
-    lines = rows.select("src", "q", "dst", "more").distinct()
-    next_lines = lines.select(F.col("src").alias("dst"), F.col("q").alias("quantity"))
-    edges = (
-        lines.where("more")
-        .join(next_lines, "dst")
-        .groupBy("src", "dst")
-        .agg((F.min(F.abs(F.col("q") - F.col("quantity"))) + 1).alias("weight"))
+    lines = _table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").cast("long").alias("order"), number.cast("long").alias("number"), F.col("l_quantity").alias("quantity")
     )
-    return Graph.from_tables(rows.select(F.col("src").alias("id")), edges, directed)
+    found = _meeting(lines.where("order is not null").select("*", F.col("order").alias("of")), 1)
+    at = lambda row: F.col(f"{row}.of") * LINE_NUMBERS + F.col(f"{row}.number")
+    weight = F.abs(F.col("first.quantity") - F.col("second.quantity")) + 1
+    edges = found.select(at("first").alias("src"), at("second").alias("dst"), weight.alias("weight"))
+    ids = lines.select((F.col("order") * LINE_NUMBERS + F.col("number")).alias("id"))
+    return Graph.from_tables(ids, _least(edges) if directed else edges, directed)
 
 
 def copurchase_all_parts(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
     """``copurchase`` over every part of the catalogue, bought or not."""
     parts = _table(spark, folder, "part").select(F.col("p_partkey").alias("id"))
-    return Graph.from_tables(parts, copurchase_edges(spark, folder), directed)
+    found = copurchase_edges if directed else copurchase_pairs
+    return Graph.from_tables(parts, found(spark, folder), directed)
 
 
 def supplier_part(spark: SparkSession, folder: str, directed: bool = False) -> Graph:
