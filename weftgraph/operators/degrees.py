@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
-from weftgraph.graph import Graph, both_ways
+from weftgraph.graph import Graph
 from weftgraph.operators import runtime, skew
 from weftgraph.operators.runtime import cut
 
@@ -13,8 +15,11 @@ def _counted(ends: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
 
 
-def _for_all(graph: Graph, counts: DataFrame) -> DataFrame:
-    return graph.vertices.select("id").join(counts, "id", "left").na.fill(0, ["degree"])
+def _for_all(graph: Graph, count: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Counts of edge ends for every vertex; the edges are derived once for both."""
+    with graph.ends_held() as held:
+        counts = count(held.edges)
+        return cut(held.vertices.select("id").join(counts, "id", "left").na.fill(0, ["degree"]))
 
 
 def out_degree_nonzero(graph: Graph) -> DataFrame:
@@ -24,24 +29,30 @@ def out_degree_nonzero(graph: Graph) -> DataFrame:
 
 def out_degree(graph: Graph) -> DataFrame:
     """Number of out-edges of every vertex."""
-    return _for_all(graph, out_degree_nonzero(graph))
+    return _for_all(graph, lambda edges: _counted(edges.select(F.col("src").alias("id"))))
 
 
 def in_degree(graph: Graph) -> DataFrame:
     """Number of in-edges of every vertex."""
-    return _for_all(graph, _counted(graph.edges.select(F.col("dst").alias("id"))))
+    return _for_all(graph, lambda edges: _counted(edges.select(F.col("dst").alias("id"))))
 
 
 def total_degree(graph: Graph) -> DataFrame:
     """Number of edge ends at every vertex, in and out; a loop has both."""
-    return _for_all(graph, _counted(graph.edges.select(F.explode(F.array("src", "dst")).alias("id"))))
+    return _for_all(graph, lambda edges: _counted(edges.select(F.explode(F.array("src", "dst")).alias("id"))))
 
 
 def neighbour_count(graph: Graph) -> DataFrame:
     """Number of distinct vertices linked to every vertex in either direction, itself included by a loop."""
-    edges = graph.edges.select("src", "dst")
-    linked = both_ways(edges) if graph.directed else edges
-    return _for_all(graph, _counted(linked.distinct().select(F.col("src").alias("id"))))
+
+    def count(edges: DataFrame) -> DataFrame:
+        # Pairs are made unique while each is still one row; a loop has one end.
+        low, high = F.least("src", "dst").alias("low"), F.greatest("src", "dst").alias("high")
+        rising = edges if graph.directed else edges.where(F.col("src") <= F.col("dst"))
+        ends = F.array_distinct(F.array("low", "high"))
+        return _counted(rising.select(low, high).distinct().select(F.explode(ends).alias("id")))
+
+    return _for_all(graph, count)
 
 
 def dangling_vertices(graph: Graph) -> DataFrame:
@@ -51,7 +62,8 @@ def dangling_vertices(graph: Graph) -> DataFrame:
 
 def dangling_count(graph: Graph) -> DataFrame:
     """One row: the number of vertices without out-edges."""
-    return dangling_vertices(graph).agg(F.count(F.lit(1)).alias("dangling"))
+    with graph.ends_held() as held:
+        return cut(dangling_vertices(held).agg(F.count(F.lit(1)).alias("dangling")))
 
 
 def hot_vertices(counts: DataFrame, key: str) -> DataFrame | None:
