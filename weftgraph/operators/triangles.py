@@ -14,20 +14,57 @@ from weftgraph.operators import runtime, skew
 # Neighbours compared at a time; longer lists travel in pieces of this many.
 PIECE = 4096
 
-# What may be asked of a link from a lower vertex to a higher one.
-_KINDS = {
-    "out": lambda link: link["out"],
-    "back": lambda link: link["back"],
-    "mutual": lambda link: link["out"] & link["back"],
-}
+# Ways of a link from a lower vertex to a higher one, as bits, and which of them may be asked for.
+_OUT, _BACK = 1, 2
+_KINDS = {"out": _OUT, "back": _BACK, "mutual": _OUT | _BACK}
+
+# Bits of a link in one long: its ways, its id above the least one, and the degree.
+_WAY_BITS, _ID_BITS, _DEGREE_BITS = 2, 31, 30
+
+
+@dataclass(frozen=True)
+class Codes:
+    """How ids stand in lists: as whole numbers of four bytes above the least id where all fit, or else as they are.
+
+    Links are then single numbers too, in the order of degree and id, instead of rows of three.
+    """
+
+    least: int
+    short: bool
+
+    @classmethod
+    def of(cls, least: int | None, greatest: int | None, most: int | None) -> Codes:
+        if least is None:
+            return cls(0, True)
+        return cls(least, greatest - least < 1 << _ID_BITS and most < 1 << _DEGREE_BITS)
+
+    def code(self, id: Column) -> Column:
+        return (id - F.lit(self.least)).cast("int") if self.short else id
+
+    def id(self, code: Column) -> Column:
+        return code.cast("long") + F.lit(self.least) if self.short else code
+
+    def link(self, degree: Column, id: Column, ways: Column) -> Column:
+        if not self.short:
+            return F.struct(degree.alias("degree"), id.alias("id"), ways.alias("ways"))
+        rest = F.shiftleft(id - F.lit(self.least), _WAY_BITS).bitwiseOR(ways.cast("long"))
+        return F.shiftleft(degree.cast("long"), _ID_BITS + _WAY_BITS).bitwiseOR(rest)
+
+    def code_of(self, link: Column) -> Column:
+        if not self.short:
+            return link["id"]
+        return F.shiftright(link, _WAY_BITS).bitwiseAND(F.lit((1 << _ID_BITS) - 1)).cast("int")
+
+    def ways_of(self, link: Column) -> Column:
+        return (link.bitwiseAND(F.lit(_KINDS["mutual"])) if self.short else link["ways"]).cast("tinyint")
 
 
 @dataclass(frozen=True)
 class Closed:
     """``degrees(id, degree)`` counts distinct neighbours. ``common`` has a row per linked pair u-v, u the
     lower, and piece of u's list: the vertices ``third`` above both and linked to both, and whether the
-    pair is linked ``out`` (u to v) and ``back``. For each kind asked for, ``u_<kind>`` and ``v_<kind>``
-    are those of ``third`` that u, or v, is linked to in that way.
+    pair is linked ``out`` (u to v) and ``back``, which is only known if kinds are asked for. For each of those,
+    ``u_<kind>`` and ``v_<kind>`` are the ones of ``third`` that u, or v, is linked to in that way.
     """
 
     degrees: DataFrame
@@ -45,16 +82,22 @@ def closed(graph: Graph, kinds: Sequence[str] = (), *, every_vertex: bool = Fals
     """
     spark = graph.edges.sparkSession
     rising = F.col("src") < F.col("dst")
-    pairs = runtime.hold(
-        graph.edges.where(F.col("src") != F.col("dst"))
-        .groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-        .agg(F.max(rising).alias("a_to_b"), F.max(~rising).alias("b_to_a"))
-    )
+    if graph.directed:
+        pairs = (
+            graph.edges.where(F.col("src") != F.col("dst"))
+            .groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+            .agg(F.max(rising).alias("a_to_b"), F.max(~rising).alias("b_to_a"))
+        )
+    else:
+        # Each pair is listed both ways, so one of them tells all.
+        pairs = graph.edges.where(rising).select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct()
+    pairs = runtime.hold(pairs)
     degrees = runtime.hold(
         pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
     )
     try:
-        ends, most = degrees.agg(F.sum("degree"), F.max("degree")).first()
+        ends, most, *range_ = degrees.agg(F.sum("degree"), F.max("degree"), F.min("id"), F.max("id")).first()
+        codes = Codes.of(*range_, most)
         rows = max(ends or 0, graph.vertices.count() if every_vertex else 0)
         partitions = runtime.partition_count(spark, rows)
         limit = skew.hot_threshold(ends or 0, partitions)
@@ -62,7 +105,7 @@ def closed(graph: Graph, kinds: Sequence[str] = (), *, every_vertex: bool = Fals
         if (most or 0) > limit:
             hot = runtime.cut(skew.hot_keys(degrees, "id", "degree", limit))
         with runtime.settings(spark, {"spark.sql.shuffle.partitions": partitions}):
-            yield Closed(degrees, _common(_lists(pairs, degrees, hot, kinds), hot, kinds))
+            yield Closed(degrees, _common(_lists(pairs, degrees, hot, kinds, codes), hot, kinds, codes))
     finally:
         pairs.unpersist()
         degrees.unpersist()
@@ -72,50 +115,59 @@ def _named(hot: DataFrame | None, key: str) -> DataFrame | None:
     return None if hot is None else hot.withColumnRenamed("id", key)
 
 
-def _lists(pairs: DataFrame, degrees: DataFrame, hot: DataFrame | None, kinds: Sequence[str]) -> DataFrame:
-    """``(u, higher, list, list_<kind>...)``: per vertex its links to higher neighbours in rising order of
-    those, the ids of all of them and the ids of those linked in each way.
+def _lists(pairs: DataFrame, degrees: DataFrame, hot: DataFrame | None, kinds: Sequence[str], codes: Codes) -> DataFrame:
+    """``(u, list[, ways])``: per vertex the codes of its higher neighbours in rising order of those, and if kinds are asked
+    for the ways in which each is linked.
     """
     for end in ("a", "b"):
         table = degrees.select(F.col("id").alias(end), F.col("degree").alias(f"degree_{end}"))
         pairs = skew.keyed_join(pairs, table, end, _named(hot, end))
 
-    def link(degree: str, id: str, out: str, back: str) -> Column:
-        fields = {"degree": degree, "id": id, "out": out, "back": back}
-        return F.struct(*[F.col(column).alias(name) for name, column in fields.items()])
+    def ways(out: str, back: str) -> Column:
+        if not kinds:
+            return F.lit(0)
+        if out not in pairs.columns:
+            return F.lit(_OUT | _BACK)
+        return F.when(F.col(out), _OUT).otherwise(0) + F.when(F.col(back), _BACK).otherwise(0)
 
     upward = F.struct("degree_a", "a") < F.struct("degree_b", "b")
     turned = pairs.select(
         F.when(upward, F.col("a")).otherwise(F.col("b")).alias("u"),
-        F.when(upward, link("degree_b", "b", "a_to_b", "b_to_a"))
-        .otherwise(link("degree_a", "a", "b_to_a", "a_to_b"))
+        F.when(upward, codes.link(F.col("degree_b"), F.col("b"), ways("a_to_b", "b_to_a")))
+        .otherwise(codes.link(F.col("degree_a"), F.col("a"), ways("b_to_a", "a_to_b")))
         .alias("link"),
     )
     lists = turned.groupBy("u").agg(F.sort_array(F.collect_list("link")).alias("higher"))
-    chosen = [F.filter("higher", _KINDS[kind])["id"].alias(f"list_{kind}") for kind in kinds]
-    return lists.select("u", "higher", F.col("higher.id").alias("list"), *chosen)
+    found = lists.select("u", "higher", F.transform("higher", codes.code_of).alias("list"))
+    return found.select("u", "list", *([F.transform("higher", codes.ways_of).alias("ways")] if kinds else []))
 
 
-def _common(lists: DataFrame, hot: DataFrame | None, kinds: Sequence[str]) -> DataFrame:
-    of_kind = [f"list_{kind}" for kind in kinds]
+def _common(lists: DataFrame, hot: DataFrame | None, kinds: Sequence[str], codes: Codes) -> DataFrame:
+    ways = ["ways"] if kinds else []
     # For the pair u-v only what comes after v in u's list can be above both.
-    after = F.col("at") + 2
+    after, at_most = F.col("at") + 2, F.lit(PIECE)
+    link = F.get("ways", F.col("at")) if kinds else F.lit(0)
     pieces = (
-        lists.select("u", "list", *of_kind, F.posexplode("higher").alias("at", "link"))
+        lists.select("u", "list", *ways, F.posexplode("list").alias("at", "code"))
         .where(after <= F.size("list"))
-        .withColumn("start", F.explode(F.sequence(after, F.size("list"), F.lit(PIECE))))
-        .select("u", "link", F.slice("list", F.col("start"), F.lit(PIECE)).alias("piece"), *of_kind)
+        .withColumn("start", F.explode(F.sequence(after, F.size("list"), at_most)))
         .select(
             "u",
-            F.col("link.id").alias("v"),
-            "link.out",
-            "link.back",
-            "piece",
-            *[F.array_intersect("piece", f"list_{kind}").alias(f"piece_{kind}") for kind in kinds],
+            codes.id(F.col("code")).alias("v"),
+            link.alias("link"),
+            F.slice("list", F.col("start"), at_most).alias("piece"),
+            *[F.slice(name, F.col("start"), at_most).alias("piece_ways") for name in ways],
         )
     )
+
+    def linked(ids: str, ways: str, kind: str) -> Column:
+        return F.filter(ids, lambda _, i: F.get(F.col(ways), i).bitwiseAND(F.lit(_KINDS[kind])) == _KINDS[kind])
+
+    def named(found: Column, name: str) -> Column:
+        return F.transform(found, codes.id).alias(name)
+
     # A hub has few higher vertices, all of them hubs, so the lists repeated for its parts are short.
-    table = lists.select(F.col("u").alias("v"), "list", *of_kind)
+    table = lists.select(F.col("u").alias("v"), "list", *ways)
     return (
         skew.keyed_join(pieces, table, "v", _named(hot, "v"))
         .withColumn("third", F.array_intersect("piece", "list"))
@@ -123,11 +175,11 @@ def _common(lists: DataFrame, hot: DataFrame | None, kinds: Sequence[str]) -> Da
         .select(
             "u",
             "v",
-            "out",
-            "back",
-            "third",
-            *[F.array_intersect("third", f"piece_{kind}").alias(f"u_{kind}") for kind in kinds],
-            *[F.array_intersect("third", f"list_{kind}").alias(f"v_{kind}") for kind in kinds],
+            (F.col("link").bitwiseAND(F.lit(_OUT)) != 0).alias("out"),
+            (F.col("link").bitwiseAND(F.lit(_BACK)) != 0).alias("back"),
+            named(F.col("third"), "third"),
+            *[named(F.array_intersect("third", linked("piece", "piece_ways", kind)), f"u_{kind}") for kind in kinds],
+            *[named(F.array_intersect("third", linked("list", "ways", kind)), f"v_{kind}") for kind in kinds],
         )
     )
 
