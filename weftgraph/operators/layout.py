@@ -58,11 +58,12 @@ def arranged(graph: Graph, *, undirected: bool = False, weighted: bool = False)
     """Lay out the edges of ``graph`` and hold loop settings while the block runs.
 
     ``undirected`` adds the reverse of each edge when the graph is directed. The number of partitions follows
-    edges and vertices, whichever are more.
+    edges and vertices, whichever are more, and is no larger than cores and memory ask for: the fewer they are, the more
+    messages to one vertex are combined before they are shuffled.
     """
     spark = graph.edges.sparkSession
     cached = graph.edges.storageLevel != StorageLevel.NONE
-    with graph.held():
+    with graph.held() if weighted else graph.ends_held() as graph:
         edges = graph.edges.select("src", "dst", *(["weight"] if weighted else []))
         if undirected and graph.directed:
             edges = both_ways(edges)
@@ -76,7 +77,7 @@ def arranged(graph: Graph, *, undirected: bool = False, weighted: bool = False)
         )
         totals = per_source.agg(F.sum("rows"), F.max("rows"), F.min("least"), F.count(F.lit(1))).first()
         rows, most = totals[0] or 0, totals[1] or 0
-        partitions = runtime.partition_count(spark, max(rows, totals[3]))
+        partitions = runtime.partition_count(spark, max(rows, totals[3]), runtime.ROWS_PER_PARTITION)
         limit = skew.hot_threshold(rows, partitions)
         with runtime.loop_settings(spark, partitions):
             hot, cold, spread = None, edges, None
