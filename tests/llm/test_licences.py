@@ -54,3 +54,31 @@ def test_an_empty_corpus_can_be_learnt_from(awkward):
     model = licences.fit(awkward([]))
     found = licences.scan(awkward([(1, "Released under the MIT License.", "en", "s")]), model).first()
     assert found.families == ["MIT"]
+
+
+def test_every_paragraph_is_learnt_from(awkward, fitted, monkeypatch):
+    """Paragraphs that agree with no template, each as often as it comes: against a count of them one by one."""
+    from pyspark.sql import functions as F
+
+    templates = fitted[1].templates
+    common = [f"the software is provided {i} as is" for i in range(60)] + ["Released under the MIT License.", "x", "of the of the of the"]
+    text = "\n".join([*common, " ", *common])
+    docs = awkward([(i, text, "en", "s") for i in range(40)] + [(50, None, "en", "s"), (51, "", "en", "s")])
+    found = licences._counted(docs, "text", fitted[1].vectors, templates)
+    assert found.agg(F.sum("_count")).first()[0] == 40 * 2 * (len(common) - 1)
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("_line")).where("trim(_line) <> ''")
+    want = licences._with_grams(lines).where(F.array_max(licences._agreement(templates)) < licences.AGREEMENT)
+    want = fitted[1].vectors.transform(want).groupBy("features").count()
+    total = lambda frame: {r.features: r[1] for r in frame.collect()}
+    assert total(found.groupBy("features").agg(F.sum("_count"))) == total(want)
+
+
+def test_the_bar_is_passed_by_no_more_than_its_share(spark):
+    for seed in range(3):
+        rows = spark.range(500).selectExpr(f"cast(pmod(xxhash64(id, {seed}), 97) as double) / 97 as _chance", "id % 7 + 1 as _count")
+        every = sorted(r._chance for r in rows.collect() for _ in range(r._count))
+        for share in (0.5, 0.1, 0.001):
+            bar = licences._bar(rows, share)
+            above = sum(x > bar for x in every) / len(every)
+            assert above <= share and sum(x >= bar for x in every) / len(every) > share
+    assert licences._bar(rows.limit(0), 0.1) is None

@@ -11,9 +11,10 @@ from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from weftgraph.llm.mixing import ordered, summed
 from weftgraph.operators.runtime import cut
 
 #: Notices by which licences are known, by family.
@@ -73,8 +74,6 @@ TEMPLATES = {
     ),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
-SAMPLE_LINES = 6_000
-"""Paragraphs of the corpus, about, to learn unknown text from and to set the bar with."""
 MISTAKEN = 0.001
 """Share of unknown paragraphs that may pass the bar."""
 AGREEMENT = 0.8
@@ -130,8 +129,12 @@ class LicenceModel:
         self.vectors, self.model, self.templates, self.bar = vectors, model, templates, bar
 
     def scored(self, lines: DataFrame) -> DataFrame:
-        """``lines`` of ``_line`` with ``_family`` (a class from 0), its chance and how far a template agrees."""
-        told = self.model.transform(self.vectors.transform(_with_grams(lines)))
+        """``lines`` of ``_line`` with ``_family`` (a class from 0) and its chance."""
+        return self.told(self.vectors.transform(_with_grams(lines)))
+
+    def told(self, rows: DataFrame) -> DataFrame:
+        """``rows`` of ``features`` with ``_family`` and its chance."""
+        told = self.model.transform(rows)
         chances = F.slice(vector_to_array("probability"), 2, len(_FAMILIES))
         told = told.withColumn("_chances", chances).withColumn("_chance", F.array_max("_chances"))
         return told.withColumn("_family", (F.array_position("_chances", F.col("_chance")) - 1).cast("int"))
@@ -151,11 +154,47 @@ def _lines(docs: DataFrame, doc: str, text: str) -> DataFrame:
     return source.select("_doc", "_key", F.posexplode(F.split("_text", "\n")).alias("_number", "_line"))
 
 
-def fit(docs: DataFrame, *, text: str = "text", sample_lines: int = SAMPLE_LINES, mistaken: float = MISTAKEN) -> LicenceModel:
-    """Learn from the templates, alone and within paragraphs of a bounded sample, and from the sample's other paragraphs.
+def _counted(docs: DataFrame, text: str, vectors: CountVectorizerModel, held: list) -> DataFrame:
+    """All paragraphs that agree with no template, those of the same features counted together.
 
-    The sample takes one paragraph from each of about ``sample_lines`` documents, by a hash of their texts; those that
-    agree with a template themselves are left out.
+    ``_part`` deals them by a hash and ``_at`` gives those of the first part a template each; ``_count`` is how many there are.
+    """
+    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("_line")).where(F.trim("_line") != "")
+    part = F.pmod(F.xxhash64("_line", F.lit(1)), F.lit(_PARTS))
+    at = F.when(F.col("_part") == 0, F.pmod(F.xxhash64("_line", F.lit(2)), F.lit(len(held))))
+    longest = max(len(row["_pairs"]) for row in held)
+    # Only of a paragraph hardly longer than a template can nearly all pairs be the template's.
+    few = F.when(F.size("_pairs") * AGREEMENT <= longest, F.size("_pairs"))
+    rows = vectors.transform(_with_grams(lines.withColumn("_part", part).withColumn("_at", at))).withColumn("_few", few)
+    rows = rows.groupBy("features", "_part", "_at", "_few").agg(F.count(F.lit(1)).alias("_count"))
+    places = {gram: i for i, gram in enumerate(vectors.vocabulary)}
+    has = vector_to_array("features")
+
+    def agrees(pairs: list[str]) -> Column:
+        common = reduce(Column.__add__, [has[places[pair]] for pair in pairs])
+        quoted = F.coalesce((F.col("_few") >= 5) & (common / F.col("_few") >= AGREEMENT), F.lit(False))
+        return (common / F.lit(len(pairs)) >= AGREEMENT) | quoted
+
+    return rows.where(~reduce(Column.__or__, [agrees(row["_pairs"]) for row in held]))
+
+
+def _bar(told: DataFrame, mistaken: float) -> float | None:
+    """The least chance that no more than the share ``mistaken`` of the counted rows exceeds."""
+    chances = told.groupBy("_chance").agg(F.sum("_count").alias("_count"))
+    line = cut(summed(ordered(chances, F.col("_chance")), F.col("_count")))
+    upto = F.col("_before") + F.col("_count")
+    total = line.agg(F.max(upto)).first()[0]
+    if not total:
+        return None
+    return line.where(upto >= (1 - mistaken) * total).agg(F.min("_chance")).first()[0]
+
+
+def fit(docs: DataFrame, *, text: str = "text", mistaken: float = MISTAKEN) -> LicenceModel:
+    """Learn from the templates, alone and within paragraphs of the corpus, and from its other paragraphs.
+
+    A third of all paragraphs, by a hash, are learnt from with a template's features added, another as unknown text, and the
+    rest set the bar; those that agree with a template themselves are left out. All paragraphs take part, each as often as
+    it comes: those of the same features are one row with a weight.
     """
     spark = docs.sparkSession
     templates = cut(_with_grams(_templates(spark)))
@@ -163,33 +202,19 @@ def fit(docs: DataFrame, *, text: str = "text", sample_lines: int = SAMPLE_LINES
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, "_grams", "features")
     vectors.setBinary(True)
     held = templates.select("_at", "label", "_line", F.array_distinct("_pairs").alias("_pairs")).collect()
-    texts = docs.filter(F.col(text).isNotNull()).select(F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
-    share = min(1.0, sample_lines / max(1, texts.count()))
-    texts = texts.filter(F.pmod("_hash", F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).distinct()
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.trim(x) != "")
-    line = F.element_at(lines, (F.pmod(F.xxhash64("_hash"), F.size(lines)) + 1).cast("int"))
-    sample = _with_grams(
-        texts.filter(F.size(lines) > 0).select("_hash", line.alias("_line"))
-    ).filter(F.array_max(_agreement(held)) < AGREEMENT)
-    sample = cut(
-        sample.select(
-            "_line",
-            F.pmod(F.xxhash64("_hash", F.lit(1)), F.lit(_PARTS)).alias("_part"),
-            F.pmod(F.xxhash64("_hash", F.lit(2)), F.lit(len(held))).alias("_at"),
-        )
-    )
-    alone = templates.select("_line", "label")
-    within = sample.filter("_part = 0").alias("s").join(F.broadcast(templates.select("_at", "label", F.col("_line").alias("_notice"))), "_at")
-    within = within.select(F.concat_ws(" ", "_notice", "_line").alias("_line"), "label")
-    other = sample.filter("_part = 1").select("_line", F.lit(0.0).alias("label"))
+    counted = cut(_counted(docs, text, vectors, held))
+    alone = vectors.transform(templates).select("_at", "features", "label")
+    notices = F.broadcast(alone.select("_at", "label", vector_to_array("features").alias("_notice")))
+    both = F.zip_with(vector_to_array("features"), "_notice", lambda a, b: F.greatest(a, b))
+    within = counted.where("_part = 0").join(notices, "_at").select(array_to_vector(both).alias("features"), "label", "_count")
+    other = counted.where("_part = 1").select("features", F.lit(0.0).alias("label"), "_count")
     # Every class is there, and unknown also where the corpus is empty.
-    blank = spark.range(1).select(F.lit("").alias("_line"), F.lit(0.0).alias("label"))
-    rows = cut(vectors.transform(_with_grams(reduce(DataFrame.unionByName, [alone, within, other, blank]))).select("features", "label").repartition(2))
-    learner = LogisticRegression(family="multinomial", maxIter=60, regParam=2e-3, elasticNetParam=0.5)
+    blank = vectors.transform(_with_grams(spark.range(1).select(F.lit("").alias("_line")))).select("features", F.lit(0.0).alias("label"))
+    single = alone.select("features", "label").unionByName(blank).withColumn("_count", F.lit(1).cast("long"))
+    rows = reduce(DataFrame.unionByName, [single, within, other]).withColumn("_weight", F.col("_count").cast("double"))
+    learner = LogisticRegression(family="multinomial", maxIter=60, regParam=2e-3, elasticNetParam=0.5, weightCol="_weight")
     model = LicenceModel(vectors, learner.fit(rows), held)
-    rest = model.scored(sample.filter("_part = 2").select("_line"))
-    passed = rest.agg(F.percentile_approx("_chance", 1 - mistaken, 10_000)).first()[0]
-    model.bar = max(0.5, passed or 0.0)
+    model.bar = max(0.5, _bar(model.told(counted.where("_part = 2")), mistaken) or 0.0)
     return model
 
 
