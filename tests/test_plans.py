@@ -1,5 +1,6 @@
 """Physical plans: what a round shuffles, and what reaches the scan."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from weftgraph import Graph, bfs, cdlp, dangling_count, in_degree, lcc, neighbour_count, out_degree, pagerank, sssp, total_degree, triangles, wcc
@@ -130,3 +131,21 @@ def test_loops_have_no_more_partitions_than_cores_and_memory_ask_for(spark):
     edges = spark.range(9_000_000).select((F.col("id") % 1009).alias("src"), (F.col("id") % 997).alias("dst"))
     with arranged(Graph.from_edges(edges)) as layout:
         assert layout.partitions == spark.sparkContext.defaultParallelism
+
+
+def test_a_line_without_quantity_fails_only_where_no_other_gives_the_weight(spark, tmp_path):
+    """In each direction, also of an undirected graph and in rounds that use no weights."""
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double"
+    both = [(1, 1, 5, None), (1, 2, 6, 4.0), (2, 1, 5, 2.0), (2, 2, 6, 4.0)]
+    cases = {"given": (both, True), "missing": (both[:2], False), "one way": (both[:2] + [(2, 1, 6, 2.0), (2, 2, 5, 4.0)], False)}
+    for name, (rows, fine) in cases.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+        for directed in (True, False):
+            graph = copurchase(spark, f"{tmp_path}/{name}", directed)
+            if fine:
+                assert {tuple(r) for r in graph.edges.collect()} == ({(5, 6, 3.0)} if directed else {(5, 6, 3.0), (6, 5, 3.0)})
+                assert wcc(graph).count() == 2
+                continue
+            for find in (lambda g: g.edges, wcc, lambda g: pagerank(g, 1)):
+                with pytest.raises(Exception, match="null edge weight"):
+                    find(graph).collect()

@@ -62,6 +62,15 @@ class Graph:
         edges = _edge_table(edges, directed, src, dst, weight)
         return cls(_ends(edges, directed).distinct(), edges, directed)
 
+    @classmethod
+    def from_listed(cls, edges: DataFrame, vertices: DataFrame | None = None) -> Graph:
+        """An undirected graph of ``edges(src, dst[, weight])`` that list every edge in both directions already, once each."""
+        edges = _edge_table(edges, True, "src", "dst", None)
+        ids = _ends(edges, False)
+        if vertices is not None:
+            ids = vertices.select(_key(vertices, "id").alias("id")).unionByName(ids)
+        return cls(ids.distinct(), edges, False)
+
     @property
     def weighted(self) -> bool:
         return "weight" in self.edges.columns

@@ -63,7 +63,7 @@ def arranged(graph: Graph, *, undirected: bool = False, weighted: bool = False)
     """
     spark = graph.edges.sparkSession
     cached = graph.edges.storageLevel != StorageLevel.NONE
-    with graph.held() if weighted else graph.ends_held() as graph:
+    with graph.held():
         edges = graph.edges.select("src", "dst", *(["weight"] if weighted else []))
         if undirected and graph.directed:
             edges = both_ways(edges)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.graph import Graph
+from weftgraph.graph import Graph, both_ways
 
 # By default, lines of one order up to this many numbers apart make their parts neighbours.
 REACH = 6
@@ -46,10 +46,32 @@ def _meeting(lines: DataFrame, reach: int) -> DataFrame:
 
 
 def _least(pairs: DataFrame) -> DataFrame:
-    """One row per (src, dst), as a directed graph needs; an undirected one takes the least weight of either direction itself."""
+    """One row per (src, dst), as a directed graph needs."""
     return pairs.groupBy("src", "dst").agg(F.min("weight").alias("weight"))
 
 
+def _linked(pairs: DataFrame) -> DataFrame:
+    """The undirected graph's edges, both ways, from pairs brought together once.
+
+    The weight is the lesser of both directions' least ones, and null where a direction has rows but no weight.
+    """
+    rising = F.col("src") < F.col("dst")
+    found = pairs.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(
+        F.min(F.when(rising, F.col("weight"))).alias("up"),
+        F.min(F.when(~rising, F.col("weight"))).alias("down"),
+        F.bool_or(rising).alias("rises"),
+        F.bool_or(~rising).alias("falls"),
+    )
+    missing = F.col("rises") & F.col("up").isNull() | F.col("falls") & F.col("down").isNull()
+    return both_ways(found.select("src", "dst", F.when(~missing, F.least("up", "down")).alias("weight")))
+
+
+def _graph(pairs: DataFrame, directed: bool, vertices: DataFrame | None = None) -> Graph:
+    if not directed:
+        return Graph.from_listed(_linked(pairs), vertices)
+    return Graph.from_edges(_least(pairs)) if vertices is None else Graph.from_tables(vertices, _least(pairs))
+
+
 def copurchase_pairs(spark: SparkSession, folder: str, reach: int = REACH) -> DataFrame:
     """``(src, dst, weight)``, a row for every two lines of an order, up to ``reach`` numbers apart, with different parts."""
     lines = _table(spark, folder, "lineitem").select(
@@ -75,8 +97,7 @@ def copurchase_edges(spark: SparkSession, folder: str, reach: int = REACH) -> Da
 
 def copurchase(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
     """Parts bought together, from all order lines."""
-    found = copurchase_edges if directed else copurchase_pairs
-    return Graph.from_edges(found(spark, folder), directed)
+    return _graph(copurchase_pairs(spark, folder), directed)
 
 
 def order_lines(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
@@ -93,16 +114,15 @@ def order_lines(spark: SparkSession, folder: str, directed: bool = True) -> Grap
     found = _meeting(lines.where("order is not null").select("*", F.col("order").alias("of")), 1)
     at = lambda row: F.col(f"{row}.of") * LINE_NUMBERS + F.col(f"{row}.number")
     weight = F.abs(F.col("first.quantity") - F.col("second.quantity")) + 1
-    edges = found.select(at("first").alias("src"), at("second").alias("dst"), weight.alias("weight"))
+    pairs = found.select(at("first").alias("src"), at("second").alias("dst"), weight.alias("weight"))
     ids = lines.select((F.col("order") * LINE_NUMBERS + F.col("number")).alias("id"))
-    return Graph.from_tables(ids, _least(edges) if directed else edges, directed)
+    return _graph(pairs, directed, ids)
 
 
 def copurchase_all_parts(spark: SparkSession, folder: str, directed: bool = True) -> Graph:
     """``copurchase`` over every part of the catalogue, bought or not."""
     parts = _table(spark, folder, "part").select(F.col("p_partkey").alias("id"))
-    found = copurchase_edges if directed else copurchase_pairs
-    return Graph.from_tables(parts, found(spark, folder), directed)
+    return _graph(copurchase_pairs(spark, folder), directed, parts)
 
 
 def supplier_part(spark: SparkSession, folder: str, directed: bool = False) -> Graph:
