@@ -95,6 +95,21 @@ def test_tables(spark, awkward, library, monkeypatch):
     assert [r.text for r in bpe.decode(odd).collect()] == ["", "", library.decode([15339])]
 
 
+def test_ids_are_read_in_bulk():
+    import time
+
+    import pyarrow as pa
+
+    odd = pa.array([[9, 9], [1, None, 2], None, [], [3]], pa.list_(pa.int32())).slice(1)
+    assert list(bpe.read_ids(odd)) == [[1, -1, 2], [], [], [3]] and list(bpe.read_ids(odd.slice(0, 0))) == []
+    column = pa.array([list(range(1000))] * 400, pa.list_(pa.int32()))
+    begin = time.process_time()
+    want = [row.as_py() for row in column]
+    middle = time.process_time()
+    assert list(bpe.read_ids(column)) == want
+    assert time.process_time() - middle < (middle - begin) / 3
+
+
 def test_query(spark, tmp_path, library):
     rows = [(i, text) for i, text in enumerate([*texts(60, 6), None])]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")

@@ -288,6 +288,15 @@ def decoder(vocabulary: Vocabulary) -> Callable[[list[int]], str]:
     return lambda ids: b"".join([pieces.get(x, b"") for x in ids]).decode("utf-8", "replace")
 
 
+def read_ids(column: pa.Array) -> Iterator[list[int]]:
+    """The ids of each row of a column of lists, taken from it in bulk; none for a null row, -1 for a null id."""
+    flat = column.flatten().fill_null(-1).to_numpy()
+    begin = 0
+    for size in column.value_lengths().fill_null(0).to_pylist():
+        yield flat[begin : begin + size].tolist()
+        begin += size
+
+
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, *, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the token ids of ``text`` as ``ids``, in place of a column of that name.
 
@@ -313,9 +322,10 @@ def decode(tokens: DataFrame, vocabulary: str = VOCABULARY, *, ids: str = "ids",
     shared = tokens.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def rows(batch: pa.RecordBatch, column: str, decode_ids: Callable) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+        # A null id has no text, as an unknown one.
         for begin in range(0, batch.num_rows, 256):
             part = batch.slice(begin, 256)
-            yield part, pa.array([decode_ids(x.as_py() or []) for x in part.column(column)], pa.string())
+            yield part, pa.array(map(decode_ids, read_ids(part.column(column))), pa.string())
 
     return _with(tokens, ids, text, "string", rows, lambda: decoder(shared.value))
 
