@@ -58,3 +58,19 @@ def test_empty_tables(spark, awkward):
     assert [(r.n_words, r.n_hit) for r in contamination(docs, none).collect()] == [(2, 0)]
     items = spark.createDataFrame([(1, "some words")], none.schema)
     assert contamination(awkward([]), items).count() == 0 and decontaminate(docs, items).count() == 0
+
+
+def test_a_task_holds_little_of_a_large_batch():
+    import tracemalloc
+
+    text = "the quick brown fox jumps over lazy dogs " * 500
+    import pyarrow as pa
+
+    keys = pa.array(range(800), pa.int64())
+    batch = pa.RecordBatch.from_arrays([keys, keys, pa.array([text] * 800)], ["_doc", "_text_key", "_text"])
+    rows = module._gram_map(["_doc", "_text_key"], [10])
+    tracemalloc.start()
+    found = sum(part.num_rows for part in rows(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and most < 64 << 20
