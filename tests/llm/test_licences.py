@@ -73,6 +73,31 @@ def test_every_paragraph_is_learnt_from(awkward, fitted, monkeypatch):
     assert total(found.groupBy("features").agg(F.sum("_count"))) == total(want)
 
 
+def test_only_known_pairs_are_made_and_compared(awkward, fitted):
+    """Features and agreement by known words alone are those by all words, and a filter doesn't make pairs again."""
+    from pyspark.sql import functions as F
+
+    model = fitted[1]
+    texts = [text for some in licences.TEMPLATES.values() for text in some]
+    words = " ".join(texts).split()
+    texts += [" ".join(words[i : i + n]) for i in range(0, 250, 7) for n in (2, 4, 5, 6, 9)] + [f"a{i} {t} b{i}" for i, t in enumerate(texts)]
+    texts += ["of the of the of the", "the license the license x y", "", "x", "in the Software without other things"]
+    docs = awkward([(i, text, "en", "s") for i, text in enumerate(texts)])
+    lines = docs.select(F.col("text").alias("_line"))
+    known = model.vectors.transform(licences._with_known_grams(lines, model.vectors.vocabulary))
+    every = model.vectors.transform(licences._with_grams(lines))
+    features = lambda rows: {r._line: r.features for r in rows.collect()}
+    assert features(known) == features(every)
+    agrees = lambda rows, size: {r._line for r in rows.where(F.array_max(licences._agreement(model.templates, size)) >= licences.AGREEMENT).collect()}
+    found = agrees(known, F.col("_few"))
+    assert found == agrees(every, None) and 0 < len(found) < len(set(texts))
+    least = min(licences._least(row["_pairs"]) for row in model.templates)
+    assert found <= {r._line for r in known.where(F.size("_pairs") >= least).collect()}
+    for rows in (licences._counted(docs, "text", model.vectors, model.templates), model.notices(licences._lines(docs, "doc_id", "text"))):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("regexp_extract_all") <= 6
+
+
 def test_the_bar_is_passed_by_no_more_than_its_share(spark):
     for seed in range(3):
         rows = spark.range(500).selectExpr(f"cast(pmod(xxhash64(id, {seed}), 97) as double) / 97 as _chance", "id % 7 + 1 as _count")

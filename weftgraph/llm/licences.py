@@ -7,6 +7,7 @@ prediction counts only if a template of its family agrees with the paragraph.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -83,22 +84,46 @@ _PARTS = 3
 _FAMILIES = sorted(TEMPLATES)
 
 
-def _grams(text: Column) -> tuple[Column, Column]:
-    """Words, and pairs of words in a row."""
-    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), 0)
-    pairs = F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(F.lit(0), F.size(words) - 1)),
-        F.slice(words, F.lit(2), F.greatest(F.lit(0), F.size(words) - 1)),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )
-    return words, pairs
+def _pairs(words: str) -> Column:
+    """Pairs of words in a row; null where one of them is."""
+    n = F.greatest(F.lit(0), F.size(words) - 1)
+    ends = F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n)
+    return F.zip_with(*ends, lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def _once(rows: DataFrame, **column: Column) -> DataFrame:
+    """``rows`` with a column that is made once a row, however often a filter reads it: none is pushed below an ``explode``."""
+    ((name, value),) = column.items()
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _with_words(lines: DataFrame) -> DataFrame:
+    return _once(lines, _words=F.regexp_extract_all(F.lower("_line"), F.lit("[a-z0-9]+"), 0))
 
 
 def _with_grams(lines: DataFrame) -> DataFrame:
-    words, pairs = _grams(F.col("_line"))
-    return lines.withColumn("_words", words).withColumn("_pairs", F.array_distinct(pairs)).withColumn(
-        "_grams", F.concat("_words", "_pairs")
-    )
+    lines = _once(_with_words(lines), _pairs=F.array_distinct(_pairs("_words")))
+    return lines.withColumn("_grams", F.concat("_words", "_pairs"))
+
+
+def _with_known_grams(lines: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``lines`` with those of their ``_grams`` that the vocabulary may hold, and ``_few``.
+
+    ``_few`` is the number of different pairs of a paragraph where nearly all may be of the vocabulary, else null: only of
+    those need all pairs be made.
+    """
+    single = [gram for gram in vocabulary if " " not in gram]
+    lines = _once(_with_words(lines), _known=F.transform("_words", lambda word: F.when(word.isin(single), word)))
+    lines = _once(lines, _pairs=F.array_distinct(F.array_compact(_pairs("_known"))))
+    few = F.size(F.array_distinct(_pairs("_words")))
+    few = F.when(F.size("_pairs") >= 5 * AGREEMENT - 1, few)
+    lines = _once(lines, _few=few).withColumn("_few", F.when(F.col("_few") * AGREEMENT <= F.size("_pairs") + 1, F.col("_few")))
+    return lines.withColumn("_grams", F.concat(F.array_compact("_known"), "_pairs"))
+
+
+def _least(pairs: Collection[str]) -> float:
+    """Pairs of a template that an agreeing paragraph holds at least: a share of them, or of five or more of its own."""
+    return AGREEMENT * min(len(pairs), 5)
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -107,12 +132,13 @@ def _templates(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*literals)))
 
 
-def _agreement(templates: list) -> Column:
-    """How far a paragraph agrees with the closest template of each family, by class."""
+def _agreement(templates: list, size: Column | None = None) -> Column:
+    """How far a paragraph of ``size`` different pairs agrees with the closest template of each family, by class."""
+    size = F.size("_pairs") if size is None else size
 
     def one(pairs: list[str]) -> Column:
         common = F.size(F.array_intersect(F.col("_pairs"), F.array(*map(F.lit, pairs))))
-        quoted = F.when(F.size("_pairs") >= 5, common / F.size("_pairs")).otherwise(F.lit(0.0))
+        quoted = F.when(size >= 5, common / size).otherwise(F.lit(0.0))
         return F.greatest(common / F.lit(len(pairs)), quoted)
 
     by_class: dict[float, list[Column]] = {}
@@ -141,7 +167,10 @@ class LicenceModel:
 
     def notices(self, lines: DataFrame) -> DataFrame:
         """Those of ``lines`` that pass the bar and agree with a template of their family."""
-        found = self.scored(lines).filter(F.col("_chance") >= self.bar)
+        # A paragraph of fewer pairs than any template has agrees with none and need not be classified.
+        least = min(_least(row["_pairs"]) for row in self.templates)
+        near = _with_known_grams(lines, self.vectors.vocabulary).where(F.size("_pairs") >= least).select(*lines.columns)
+        found = self.scored(near).filter(F.col("_chance") >= self.bar)
         agreed = F.element_at(_agreement(self.templates), F.col("_family") + 1)
         names = F.array(*map(F.lit, _FAMILIES))
         return found.withColumn("_agreement", agreed).filter(F.col("_agreement") >= AGREEMENT).withColumn(
@@ -162,20 +191,12 @@ def _counted(docs: DataFrame, text: str, vectors: CountVectorizerModel, held: li
     lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("_line")).where(F.trim("_line") != "")
     part = F.pmod(F.xxhash64("_line", F.lit(1)), F.lit(_PARTS))
     at = F.when(F.col("_part") == 0, F.pmod(F.xxhash64("_line", F.lit(2)), F.lit(len(held))))
-    longest = max(len(row["_pairs"]) for row in held)
-    # Only of a paragraph hardly longer than a template can nearly all pairs be the template's.
-    few = F.when(F.size("_pairs") * AGREEMENT <= longest, F.size("_pairs"))
-    rows = vectors.transform(_with_grams(lines.withColumn("_part", part).withColumn("_at", at))).withColumn("_few", few)
-    rows = rows.groupBy("features", "_part", "_at", "_few").agg(F.count(F.lit(1)).alias("_count"))
-    places = {gram: i for i, gram in enumerate(vectors.vocabulary)}
-    has = vector_to_array("features")
-
-    def agrees(pairs: list[str]) -> Column:
-        common = reduce(Column.__add__, [has[places[pair]] for pair in pairs])
-        quoted = F.coalesce((F.col("_few") >= 5) & (common / F.col("_few") >= AGREEMENT), F.lit(False))
-        return (common / F.lit(len(pairs)) >= AGREEMENT) | quoted
-
-    return rows.where(~reduce(Column.__or__, [agrees(row["_pairs"]) for row in held]))
+    rows = vectors.transform(_with_known_grams(lines.withColumn("_part", part).withColumn("_at", at), vectors.vocabulary))
+    # Paragraphs of too few known pairs agree with none and aren't compared.
+    least = min(_least(row["_pairs"]) for row in held)
+    agrees = F.array_max(_agreement(held, F.col("_few"))) >= AGREEMENT
+    rows = rows.where(~((F.size("_pairs") >= least) & agrees))
+    return rows.groupBy("features", "_part", "_at", "_few").agg(F.count(F.lit(1)).alias("_count"))
 
 
 def _bar(told: DataFrame, mistaken: float) -> float | None:
