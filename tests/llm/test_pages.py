@@ -70,6 +70,22 @@ def test_pages_without_an_article_lose_what_their_neighbour_has(spark):
     assert pages.extract(table.limit(0)).count() == 0
 
 
+def test_marked_pages_are_aligned_too(spark):
+    """An article that the next page repeats is not the page's own; lines shared within the page's own article stay."""
+    teaser = "<article><p>Read on</p><p>Teaser</p></article>"
+    own = lambda *lines: "<article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article>"
+    rows = [
+        (1, "http://h.org/a/1", "<p>Top</p>" + own("Title", "one", "Read on") + teaser),
+        (2, "http://h.org/a/2", "<p>Top</p>" + own("Title", "two", "Read on") + teaser),
+        (3, "http://k.org/a/1", "<p>Top 3</p>" + own("same")),
+        (4, "http://k.org/a/2", "<p>Top 4</p>" + own("same")),
+        (5, None, own("five") + teaser),
+    ]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {1: "Title\none\nRead on", 2: "Title\ntwo\nRead on", 3: "same", 4: "same", 5: "five\nRead on\nTeaser"}
+    assert {r.page_id: r.text for r in pages.extract(table).collect()} == want
+
+
 def one_by_one(rows):
     """Main texts of pages without marked parts, each page looked up beside its neighbours in one sorted list."""
     from os.path import commonprefix

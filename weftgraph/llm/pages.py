@@ -1,9 +1,9 @@
 """Main text of web pages.
 
-A page is read into blocks of text. Where its markup says which part is the article, that is the main text. The
-others are compared with the page of the nearest path on their host: lines are aligned by longest common
-subsequence, and those that both pages share are deleted. Pages are paired by paths and digests of their lines; lines
-are then aligned once for each two digests that meet.
+A page is read into blocks of text and compared with the page of the nearest path on its host: lines are aligned by
+longest common subsequence, and those that both pages share are deleted. Where its markup says which parts are articles,
+those that hold a line of the page's own are the main text, and shared lines within them are put back. Pages are paired by
+paths and digests of their lines; lines are then aligned once for each two digests that meet, as hashes.
 """
 
 from __future__ import annotations
@@ -59,21 +59,22 @@ _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 @dataclass
 class Blocks:
-    """Blocks of a page outside menus and the like, in page order, and the names of the parts they are in."""
+    """Blocks of a page outside menus and the like, in page order, the names of the parts they are in, and their numbers."""
 
     texts: list[str]
     parts: list[str]
+    numbers: list[int]
 
     def own(self) -> list[int] | None:
-        """Places of the blocks of the article, or of the main part of a page that marks no article."""
+        """For each block the number of its article, or of its main part in a page that marks no article; 0 outside."""
         for part in _MAIN:
             if part in self.parts:
-                return [i for i, own in enumerate(self.parts) if own == part]
+                return [n if own == part else 0 for own, n in zip(self.parts, self.numbers, strict=True)]
         return None
 
     def main(self) -> list[str] | None:
         own = self.own()
-        return None if own is None else [self.texts[i] for i in own]
+        return None if own is None else [text for text, n in zip(self.texts, own, strict=True) if n]
 
 
 def _apart(tag: str, attributes: str, part: str) -> bool:
@@ -96,16 +97,18 @@ def _apart(tag: str, attributes: str, part: str) -> bool:
 
 
 def blocks(html: str) -> Blocks:
-    found = Blocks([], [])
+    found = Blocks([], [], [])
     pieces: list[str] = []
-    # Open elements: tag, whether inside a part to leave out, and the part that the element is in.
-    stack: list[tuple[str, bool, str]] = [("", False, "")]
+    # Open elements: tag, whether inside a part to leave out, the part that the element is in, and its number.
+    stack: list[tuple[str, bool, str, int]] = [("", False, "", 0)]
+    entered = 0
 
     def end() -> None:
         text = " ".join(unescape("".join(pieces)).split())
         if text:
             found.texts.append(text)
             found.parts.append(stack[-1][2])
+            found.numbers.append(stack[-1][3])
         pieces.clear()
 
     at = 0
@@ -132,23 +135,25 @@ def blocks(html: str) -> Blocks:
         elif not attributes.endswith("/"):
             if tag not in _INLINE and stack[-1][0] == "p":
                 stack.pop()
-            _, apart, part = stack[-1]
+            _, apart, part, number = stack[-1]
             if not apart:
                 apart = _apart(tag, attributes, part)
                 if not apart and part != "article":
                     role = re.search(r"role\s*=\s*[\"']?(main|article)\b", attributes, re.IGNORECASE)
-                    part = tag if tag in _MAIN else role[1].lower() if role else part
+                    if tag in _MAIN or role:
+                        part = tag if tag in _MAIN else role[1].lower()
+                        number = entered = entered + 1
             if apart and tag in _INLINE or not (tag in _INLINE and attributes == ""):
-                stack.append((tag, apart, part))
+                stack.append((tag, apart, part, number))
     if at < len(html) and not stack[-1][1]:
         pieces.append(html[at:])
     end()
     return found
 
 
-def shared(lines: list[str], others: list[str]) -> set[int]:
+def shared(lines: list, others: list) -> set[int]:
     """Places in ``lines`` of a longest common subsequence with ``others``."""
-    places: dict[str, list[int]] = {}
+    places: dict[object, list[int]] = {}
     for i, line in enumerate(others):
         places.setdefault(line, []).append(i)
     ends: list[int] = []
@@ -171,35 +176,37 @@ def shared(lines: list[str], others: list[str]) -> set[int]:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page its lines, their digest, and the places of the main ones if its markup tells."""
+    """For each page its lines, a hash of each, a digest of all, and which part they are in if its markup tells."""
     half = (1 << 64) - 1
     for whole in batches:
         for batch in tx.slices(whole, "_html"):
             found = [blocks(html) for html in batch.column("_html").to_pylist()]
             names = [xxhash.xxh3_128_intdigest("\n".join(page.texts).encode("utf-8", "surrogatepass")) for page in found]
             signed = [(name >> 64) - (1 << 63) for name in names], [(name & half) - (1 << 63) for name in names]
+            marks = [[xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in page.texts] for page in found]
             kept = [name for name in batch.schema.names if name != "_html"]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.select(kept).columns,
                     pa.array([page.texts for page in found], pa.list_(pa.string())),
+                    pa.array(marks, pa.list_(pa.int64())),
                     pa.array([page.own() for page in found], pa.list_(pa.int32())),
                     *[pa.array(part, pa.int64()) for part in signed],
                 ],
-                [*kept, "_lines", "_own", "_high", "_low"],
+                [*kept, "_lines", "_marks", "_own", "_high", "_low"],
             )
 
 
-def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of each row without those that they share with the others'."""
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each row whether its lines are shared with the others', by a longest common subsequence."""
+    names = ["_high", "_low", "_near_high", "_near_low"]
     for whole in batches:
         for i in range(whole.num_rows):
             batch = whole.slice(i, 1)
-            lines, others = batch.column("_lines")[0].as_py(), batch.column("_others")[0].as_py()
-            gone = shared(lines, others)
-            rest = "\n".join(line for k, line in enumerate(lines) if k not in gone)
-            names = ["_high", "_low", "_near_high", "_near_low"]
-            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array([rest], pa.string())], [*names, "_rest"])
+            lines, others = batch.column("_marks")[0].as_py(), batch.column("_others")[0].as_py()
+            both = shared(lines, others)
+            found = pa.array([[k in both for k in range(len(lines))]], pa.list_(pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, found], [*names, "_shared"])
 
 
 @F.pandas_udf(IntegerType())
@@ -210,14 +217,14 @@ def _in_common(paths: pd.Series, others: pd.Series) -> pd.Series:
 
 
 def nearest(found: DataFrame) -> DataFrame:
-    """``_host, _path, _page, _high, _low`` of pages without a marked main part and the digest ``_near_high, _near_low`` to compare with.
+    """``_host, _path, _page, _high, _low`` of pages and the digest ``_near_high, _near_low`` to compare with.
 
     Pages with a host and lines are put in one global order. Those of one digest in a row are a run, and a page of a run
     has two neighbours, the last page of the run before and the first of the run after, if they are on its host.
     """
     keys, name = ["_host", "_path", "_page"], ["_high", "_low"]
     narrow = found.filter((F.size("_lines") > 0) & F.col("_host").isNotNull())
-    narrow = narrow.groupBy(*keys, *name).agg(F.max(F.col("_own").isNull()).alias("_bare"))
+    narrow = narrow.select(*keys, *name).distinct()
     line = summed(ordered(narrow, *[F.col(x) for x in (*keys, *name)]), F.lit(1)).withColumnRenamed("_before", "_place")
     line = cut(line)
     last = line.select((F.col("_place") + 1).alias("_place"), F.struct("_host", *name).alias("_last"))
@@ -235,7 +242,7 @@ def nearest(found: DataFrame) -> DataFrame:
     beside = lambda step, path: runs.select(
         (F.col("_run") + step).alias("_run"), "_host", F.struct(F.col(path).alias("path"), *name).alias(path)
     )
-    rows = line.filter("_bare").join(beside(1, "_end"), ["_run", "_host"], "left").join(beside(-1, "_begin"), ["_run", "_host"], "left")
+    rows = line.join(beside(1, "_end"), ["_run", "_host"], "left").join(beside(-1, "_begin"), ["_run", "_host"], "left")
     before, after = _in_common("_path", F.col("_end.path")), _in_common("_path", F.col("_begin.path"))
     rows = rows.withColumn("_near", F.when(before >= after, F.col("_end")).otherwise(F.col("_begin"))).filter("_near is not null")
     return cut(rows.select(*keys, *name, F.col("_near._high").alias("_near_high"), F.col("_near._low").alias("_near_low")))
@@ -245,10 +252,10 @@ def extract(pages: DataFrame, *, page: str = "page_id", url: str = "url", html:
     """``page``, ``url``, ``text`` for each row: the main text, its blocks joined by line feeds.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out by their
-    elements, roles and names. If the page marks an article, or else a main part, that is taken whole. Other pages are
-    sorted by host, path, page id and a digest of their lines, and each loses the lines that it shares with the one before
-    or after it on its host, whichever path has more of its beginning in common (the one before if equal); neighbours
-    with the very same lines or none are passed over. The result does not depend on how the pages are partitioned. Null and
+    elements, roles and names. Pages are sorted by host, path, page id and a digest of their lines, and each loses the lines
+    that it shares with the one before or after it on its host, whichever path has more of its beginning in common (the one
+    before if equal); neighbours with the very same lines or none are passed over. If the page marks articles, or else main
+    parts, those that hold a line not lost are taken whole, or all of them if none does, and nothing else is. The result does not depend on how the pages are partitioned. Null and
     empty pages have an empty text; a page without a host is not compared. Page ids may be of any type that sorts. Repeated
     rows are kept, other columns ignored, and no rows give no rows.
     """
@@ -260,23 +267,21 @@ def extract(pages: DataFrame, *, page: str = "page_id", url: str = "url", html:
     found = cut(
         source.mapInArrow(
             _read,
-            f"_page {kind}, _url string, _host string, _path string, _lines array<string>, _own array<int>, _high long, _low long",
+            f"_page {kind}, _url string, _host string, _path string, _lines array<string>, _marks array<long>, _own array<int>, _high long, _low long",
         )
     )
-    result = lambda text: (F.col("_page").alias(page), F.col("_url").alias(url), text.alias("text"))
-    marked = F.col("_own").isNotNull() | (F.size("_lines") == 0)
-    main = F.array_join(F.transform("_own", lambda i: F.col("_lines")[i]), "\n")
-    done = found.filter(marked).select(*result(F.coalesce(main, F.lit(""))))
-    rest = found.filter(~marked)
-    if rest.isEmpty():
-        return done
     near, name, other = nearest(found), ["_high", "_low"], ["_near_high", "_near_low"]
-    lines = found.groupBy(*name).agg(F.first("_lines").alias("_lines"))
-    others = lines.toDF(*other, "_others")
-    pairs = near.select(*name, *other).distinct().join(lines, name).join(others, other)
-    differ = pairs.mapInArrow(_differ, "_high long, _low long, _near_high long, _near_low long, _rest string")
+    marks = found.groupBy(*name).agg(F.first("_marks").alias("_marks"))
+    pairs = near.select(*name, *other).distinct().join(marks, name).join(marks.toDF(*other, "_others"), other)
+    shares = pairs.mapInArrow(_aligned, "_high long, _low long, _near_high long, _near_low long, _shared array<boolean>")
+    # The texts are shuffled once, to meet what is shared.
     keys = ["_host", "_path", "_page", *name]
+    shares = near.join(shares, [*name, *other]).select(*keys, "_shared")
     same = [F.col(f"l.{x}").eqNullSafe(F.col(f"r.{x}")) for x in keys]
-    rest = rest.alias("l").join(near.alias("r"), same, "left").select("l.*", *[f"r.{x}" for x in other])
-    rest = rest.join(differ, [*name, *other], "left")
-    return done.unionByName(rest.select(*result(F.coalesce("_rest", F.array_join("_lines", "\n")))))
+    rows = found.drop("_marks").alias("l").join(shares.alias("r"), same, "left").select("l.*", "r._shared")
+    left = lambda i: ~F.coalesce(F.get("_shared", i), F.lit(False))
+    parts = F.array_distinct(F.filter("_own", lambda part, i: (part > 0) & left(i)))
+    whole = lambda i: F.when(F.size("_parts") > 0, F.array_contains("_parts", F.get("_own", i))).otherwise(F.get("_own", i) > 0)
+    kept = F.filter("_lines", lambda line, i: F.when(F.col("_own").isNull(), left(i)).otherwise(whole(i)))
+    rows = rows.withColumn("_parts", parts)
+    return rows.select(F.col("_page").alias(page), F.col("_url").alias(url), F.array_join(kept, "\n").alias("text"))
