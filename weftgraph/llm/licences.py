@@ -107,20 +107,23 @@ def _with_grams(lines: DataFrame) -> DataFrame:
 
 
 def _with_known_grams(lines: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``lines`` with those of their ``_grams`` that the vocabulary may hold, and ``_few``.
-
-    ``_few`` is the number of different pairs of a paragraph where nearly all may be of the vocabulary, else null: only of
-    those need all pairs be made.
-    """
+    """``lines`` with those of their ``_pairs`` and ``_grams`` that the vocabulary may hold."""
     single = [gram for gram in vocabulary if " " not in gram]
     lines = _once(_with_words(lines), _known=F.transform("_words", lambda word: F.when(word.isin(single), word)))
     lines = _once(lines, _pairs=F.array_distinct(F.array_compact(_pairs("_known"))))
-    few = F.size(F.array_distinct(_pairs("_words")))
-    few = F.when(F.size("_pairs") >= 5 * AGREEMENT - 1, few)
-    lines = _once(lines, _few=few).withColumn("_few", F.when(F.col("_few") * AGREEMENT <= F.size("_pairs") + 1, F.col("_few")))
     return lines.withColumn("_grams", F.concat(F.array_compact("_known"), "_pairs"))
 
 
+def _with_few(lines: DataFrame, held: list) -> DataFrame:
+    """``lines`` with ``_few``, the number of different pairs of a paragraph hardly longer than a template, else null.
+
+    Only of such a paragraph can nearly all pairs be the template's.
+    """
+    lines = _once(lines, _few=F.size(F.array_distinct(_pairs("_words"))))
+    longest = max(len(row["_pairs"]) for row in held)
+    return lines.withColumn("_few", F.when(F.col("_few") * AGREEMENT <= longest, F.col("_few")))
+
+
 def _least(pairs: Collection[str]) -> float:
     """Pairs of a template that an agreeing paragraph holds at least: a share of them, or of five or more of its own."""
     return AGREEMENT * min(len(pairs), 5)
@@ -191,7 +194,8 @@ def _counted(docs: DataFrame, text: str, vectors: CountVectorizerModel, held: li
     lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("_line")).where(F.trim("_line") != "")
     part = F.pmod(F.xxhash64("_line", F.lit(1)), F.lit(_PARTS))
     at = F.when(F.col("_part") == 0, F.pmod(F.xxhash64("_line", F.lit(2)), F.lit(len(held))))
-    rows = vectors.transform(_with_known_grams(lines.withColumn("_part", part).withColumn("_at", at), vectors.vocabulary))
+    rows = _with_few(_with_known_grams(lines.withColumn("_part", part).withColumn("_at", at), vectors.vocabulary), held)
+    rows = vectors.transform(rows)
     # Paragraphs of too few known pairs agree with none and aren't compared.
     least = min(_least(row["_pairs"]) for row in held)
     agrees = F.array_max(_agreement(held, F.col("_few"))) >= AGREEMENT
