@@ -121,3 +121,21 @@ def test_texts_do_not_depend_on_partitions(spark):
         assert sorted(map(tuple, pages.extract(table).select("page_id", "text").collect())) == want
     ids = spark.createDataFrame([((float(n), n), u, h) for n, u, h in rows], "page_id struct<a:double,b:long>, url string, html string")
     assert sorted((r.page_id.b, r.text) for r in pages.extract(ids).collect()) == want
+
+
+def test_texts_are_not_written_to_the_checkpoint_folder(spark):
+    """They are read again from the pages and written once, in the last shuffle."""
+    import random
+    from pathlib import Path
+
+    from weftgraph.operators.runtime import checkpoint_dir
+
+    rng = random.Random(5)
+    body = lambda: " ".join(rng.choice(("tree", "river", "mountain", "cloud")) for _ in range(2000))
+    rows = [(i, f"http://h.org/{i}", f"<p>{body()}</p><p>{body()}</p><p>Imprint</p>") for i in range(60)]
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = {f for f in folder.rglob("*") if f.is_file()}
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    size = sum(f.stat().st_size for f in folder.rglob("*") if f.is_file() and f not in before)
+    assert 0 < size < sum(len(r[2]) for r in rows) / 10
+    assert {r.page_id: r.text for r in found.collect()} == {i: html[3:].split("</p><p>Imp")[0].replace("</p><p>", "\n") for i, _, html in rows}

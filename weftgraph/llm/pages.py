@@ -3,12 +3,14 @@
 A page is read into blocks of text and compared with the page of the nearest path on its host: lines are aligned by
 longest common subsequence, and those that both pages share are deleted. Where its markup says which parts are articles,
 those that hold a line of the page's own are the main text, and shared lines within them are put back. Pages are paired by
-paths and digests of their lines; lines are then aligned once for each two digests that meet, as hashes.
+paths and digests of their lines; lines are then aligned once for each two digests that meet, as hashes. Pages are read twice,
+for the hashes and for the texts, since texts kept from the first time would be written to disk twice.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -175,26 +177,35 @@ def shared(lines: list, others: list) -> set[int]:
     return found
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page its lines, a hash of each, a digest of all, and which part they are in if its markup tells."""
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[Blocks], list[bytes], list[pa.Array]]]:
+    """For each page its columns but the html, its blocks, their lines as one text, and a digest of that in two halves."""
     half = (1 << 64) - 1
     for whole in batches:
         for batch in tx.slices(whole, "_html"):
             found = [blocks(html) for html in batch.column("_html").to_pylist()]
-            names = [xxhash.xxh3_128_intdigest("\n".join(page.texts).encode("utf-8", "surrogatepass")) for page in found]
+            # Lines hold no line feed.
+            texts = ["\n".join(page.texts).encode("utf-8", "surrogatepass") for page in found]
+            names = [xxhash.xxh3_128_intdigest(text) for text in texts]
             signed = [(name >> 64) - (1 << 63) for name in names], [(name & half) - (1 << 63) for name in names]
-            marks = [[xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in page.texts] for page in found]
-            kept = [name for name in batch.schema.names if name != "_html"]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.select(kept).columns,
-                    pa.array([page.texts for page in found], pa.list_(pa.string())),
-                    pa.array(marks, pa.list_(pa.int64())),
-                    pa.array([page.own() for page in found], pa.list_(pa.int32())),
-                    *[pa.array(part, pa.int64()) for part in signed],
-                ],
-                [*kept, "_lines", "_marks", "_own", "_high", "_low"],
-            )
+            kept = batch.select([name for name in batch.schema.names if name != "_html"])
+            yield kept, found, texts, [pa.array(part, pa.int64()) for part in signed]
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each page a hash of each line, and a digest of all."""
+    for kept, found, _, digest in _parsed(batches):
+        marks = [[xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in page.texts] for page in found]
+        yield pa.RecordBatch.from_arrays(
+            [*kept.columns, pa.array(marks, pa.list_(pa.int64())), *digest], [*kept.schema.names, "_marks", "_high", "_low"]
+        )
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each page its lines, packed, which part they are in if its markup tells, and a digest of all."""
+    for kept, found, texts, digest in _parsed(batches):
+        lines = pa.array([zlib.compress(text) for text in texts], pa.binary())
+        own = pa.array([page.own() for page in found], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([*kept.columns, lines, own, *digest], [*kept.schema.names, "_lines", "_own", "_high", "_low"])
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,6 +220,31 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*batch.select(names).columns, found], [*names, "_shared"])
 
 
+def _kept(lines: list[str], own: list[int] | None, both: list[bool] | None) -> list[str]:
+    """The lines not shared, or where markup tells the articles that hold such a line, or all of them if none does."""
+    left = [True] * len(lines) if both is None else [not x for x in both]
+    if own is not None:
+        parts = {n for n, x in zip(own, left, strict=True) if n and x}
+        left = [n in parts if parts else n > 0 for n in own]
+    return [line for line, x in zip(lines, left, strict=True) if x]
+
+
+def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of each page, in batches of bounded size."""
+    for batch in batches:
+        begin, size, texts = 0, 0, []
+        columns = [batch.column(name) for name in ("_lines", "_own", "_shared")]
+        for end in range(1, batch.num_rows + 1):
+            packed, own, both = (column[end - 1].as_py() for column in columns)
+            text = zlib.decompress(packed).decode("utf-8", "surrogatepass")
+            texts.append("\n".join(_kept(text.split("\n") if text else [], own, both)))
+            size += len(texts[-1])
+            if size >= tx.SLICE_BYTES or end == batch.num_rows:
+                some = batch.select(["_page", "_url"]).slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], ["_page", "_url", "_text"])
+                begin, size, texts = end, 0, []
+
+
 @F.pandas_udf(IntegerType())
 def _in_common(paths: pd.Series, others: pd.Series) -> pd.Series:
     """Characters that two paths begin with in common; -1 if there is no other path."""
@@ -223,7 +259,7 @@ def nearest(found: DataFrame) -> DataFrame:
     has two neighbours, the last page of the run before and the first of the run after, if they are on its host.
     """
     keys, name = ["_host", "_path", "_page"], ["_high", "_low"]
-    narrow = found.filter((F.size("_lines") > 0) & F.col("_host").isNotNull())
+    narrow = found.filter((F.size("_marks") > 0) & F.col("_host").isNotNull())
     narrow = narrow.select(*keys, *name).distinct()
     line = summed(ordered(narrow, *[F.col(x) for x in (*keys, *name)]), F.lit(1)).withColumnRenamed("_before", "_place")
     line = cut(line)
@@ -264,24 +300,17 @@ def extract(pages: DataFrame, *, page: str = "page_id", url: str = "url", html:
         "*", host.alias("_host"), F.coalesce(F.regexp_extract("_url", _PATH, 1), F.lit("")).alias("_path")
     )
     kind = source.schema["_page"].dataType.simpleString()
-    found = cut(
-        source.mapInArrow(
-            _read,
-            f"_page {kind}, _url string, _host string, _path string, _lines array<string>, _marks array<long>, _own array<int>, _high long, _low long",
-        )
-    )
+    kept = f"_page {kind}, _url string, _host string, _path string"
+    found = cut(source.drop("_url").mapInArrow(_marked, f"_page {kind}, _host string, _path string, _marks array<long>, _high long, _low long"))
     near, name, other = nearest(found), ["_high", "_low"], ["_near_high", "_near_low"]
     marks = found.groupBy(*name).agg(F.first("_marks").alias("_marks"))
     pairs = near.select(*name, *other).distinct().join(marks, name).join(marks.toDF(*other, "_others"), other)
     shares = pairs.mapInArrow(_aligned, "_high long, _low long, _near_high long, _near_low long, _shared array<boolean>")
-    # The texts are shuffled once, to meet what is shared.
+    # Pages are read into texts again, so that those are written once only, packed, in the shuffle to what is shared.
+    texts = source.mapInArrow(_packed, f"{kept}, _lines binary, _own array<int>, _high long, _low long")
     keys = ["_host", "_path", "_page", *name]
     shares = near.join(shares, [*name, *other]).select(*keys, "_shared")
     same = [F.col(f"l.{x}").eqNullSafe(F.col(f"r.{x}")) for x in keys]
-    rows = found.drop("_marks").alias("l").join(shares.alias("r"), same, "left").select("l.*", "r._shared")
-    left = lambda i: ~F.coalesce(F.get("_shared", i), F.lit(False))
-    parts = F.array_distinct(F.filter("_own", lambda part, i: (part > 0) & left(i)))
-    whole = lambda i: F.when(F.size("_parts") > 0, F.array_contains("_parts", F.get("_own", i))).otherwise(F.get("_own", i) > 0)
-    kept = F.filter("_lines", lambda line, i: F.when(F.col("_own").isNull(), left(i)).otherwise(whole(i)))
-    rows = rows.withColumn("_parts", parts)
-    return rows.select(F.col("_page").alias(page), F.col("_url").alias(url), F.array_join(kept, "\n").alias("text"))
+    rows = texts.alias("l").join(shares.alias("r"), same, "left")
+    rows = rows.select("l._page", "l._url", "l._lines", "l._own", "r._shared").mapInArrow(_written, f"_page {kind}, _url string, _text string")
+    return rows.toDF(page, url, "text")
