@@ -149,3 +149,19 @@ def test_a_line_without_quantity_fails_only_where_no_other_gives_the_weight(spar
             for find in (lambda g: g.edges, wcc, lambda g: pagerank(g, 1)):
                 with pytest.raises(Exception, match="null edge weight"):
                     find(graph).collect()
+
+
+def test_neighbour_lists_travel_once_to_each_block(spark):
+    """In a complete graph each list has its own shuffle row per block, not per neighbour; joins build no sorted copies of them."""
+    from weftgraph.operators.triangles import closed
+
+    n = 400
+    edges = spark.range(n * n).select(F.floor(F.col("id") / n).alias("src"), (F.col("id") % n).alias("dst")).where("src < dst")
+    with closed(Graph.from_edges(edges)) as found:
+        text = plan(found.common)
+        assert "ShuffledHashJoin" in text and text.count("shufflepartitionidpassthrough") == 2
+        sides = text.split("ShuffledHashJoin", 1)[1]
+        # Pairs are made of lists behind that exchange, and nothing sorts or shuffles them again.
+        before = sides.split("shufflepartitionidpassthrough", 1)[0]
+        assert before.count("posexplode(list") == 1 and "Sort" not in before and "hashpartitioning" not in before
+        assert found.common.agg(F.sum(F.size("third"))).first()[0] == n * (n - 1) * (n - 2) // 6

@@ -52,5 +52,10 @@ def keyed_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame | Non
     if hot is None:
         return rows.join(table, key)
     cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table, key)
-    split = dealt(rows, key, hot).join(repeated(table, key, hot), [key, SALT]).drop(SALT)
-    return cold.unionByName(split)
+    return cold.unionByName(split_join(rows, table, key, hot))
+
+
+def split_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """The part of ``keyed_join`` for hot keys. Both sides are dealt by part as well, however they or the session's joins are partitioned."""
+    parts = repeated(table, key, hot).repartition(key, SALT)
+    return dealt(rows, key, hot).repartition(key, SALT).join(parts, [key, SALT]).drop(SALT)

@@ -14,6 +14,9 @@ from weftgraph.operators import runtime, skew
 # Neighbours compared at a time; longer lists travel in pieces of this many.
 PIECE = 4096
 
+# Links in the lists that meet in a block at most, on average; a task holds those, some 5 bytes each.
+BLOCK_LINKS = 48_000_000
+
 # Ways of a link from a lower vertex to a higher one, as bits, and which of them may be asked for.
 _OUT, _BACK = 1, 2
 _KINDS = {"out": _OUT, "back": _BACK, "mutual": _OUT | _BACK}
@@ -77,8 +80,8 @@ def closed(graph: Graph, kinds: Sequence[str] = (), *, every_vertex: bool = Fals
 
     Edges are turned from the lower to the higher vertex by (degree, id). Then no vertex has more than
     sqrt(2 E) edges going up, a hub least of all, and a triangle is a linked pair with a common vertex in
-    both lists of higher neighbours. The lists are compared inside the join, so open paths of two edges
-    are never rows of their own. ``every_vertex`` makes partitions enough for a row per vertex as well.
+    both lists of higher neighbours. A list is sent once to each block of vertices, where it meets the lists of those of the
+    block that it names. They are compared inside that join, so open paths of two edges are never shuffled or sorted. ``every_vertex`` makes partitions enough for a row per vertex as well.
     """
     spark = graph.edges.sparkSession
     rising = F.col("src") < F.col("dst")
@@ -100,12 +103,14 @@ def closed(graph: Graph, kinds: Sequence[str] = (), *, every_vertex: bool = Fals
         codes = Codes.of(*range_, most)
         rows = max(ends or 0, graph.vertices.count() if every_vertex else 0)
         partitions = runtime.partition_count(spark, rows)
+        blocks = runtime.partition_count(spark, ends or 0, 2 * BLOCK_LINKS, 2 * BLOCK_LINKS)
         limit = skew.hot_threshold(ends or 0, partitions)
         hot = None
         if (most or 0) > limit:
             hot = runtime.cut(skew.hot_keys(degrees, "id", "degree", limit))
         with runtime.settings(spark, {"spark.sql.shuffle.partitions": partitions}):
-            yield Closed(degrees, _common(_lists(pairs, degrees, hot, kinds, codes), hot, kinds, codes))
+            with runtime.settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):
+                yield Closed(degrees, _common(_lists(pairs, degrees, hot, kinds, codes), hot, kinds, codes, blocks))
     finally:
         pairs.unpersist()
         degrees.unpersist()
@@ -142,23 +147,52 @@ def _lists(pairs: DataFrame, degrees: DataFrame, hot: DataFrame | None, kinds: S
     return found.select("u", "list", *([F.transform("higher", codes.ways_of).alias("ways")] if kinds else []))
 
 
-def _common(lists: DataFrame, hot: DataFrame | None, kinds: Sequence[str], codes: Codes) -> DataFrame:
+def _common(lists: DataFrame, hot: DataFrame | None, kinds: Sequence[str], codes: Codes, blocks: int) -> DataFrame:
     ways = ["ways"] if kinds else []
     # For the pair u-v only what comes after v in u's list can be above both.
     after, at_most = F.col("at") + 2, F.lit(PIECE)
     link = F.get("ways", F.col("at")) if kinds else F.lit(0)
-    pieces = (
-        lists.select("u", "list", *ways, F.posexplode("list").alias("at", "code"))
-        .where(after <= F.size("list"))
-        .withColumn("start", F.explode(F.sequence(after, F.size("list"), at_most)))
-        .select(
-            "u",
-            codes.id(F.col("code")).alias("v"),
-            link.alias("link"),
-            F.slice("list", F.col("start"), at_most).alias("piece"),
-            *[F.slice(name, F.col("start"), at_most).alias("piece_ways") for name in ways],
+    block = lambda code: F.pmod(F.hash(code), F.lit(blocks))
+    table = lists.select(F.col("u").alias("v"), "list", *ways)
+
+    def pieces(rows: DataFrame, own: Column | None) -> DataFrame:
+        """A row per pair u-v, of those that ``own`` tells by the code of v, and piece of the list of u."""
+        every = rows.select("*", F.posexplode("list").alias("at", "code"))
+        return (
+            (every if own is None else every.where(own))
+            .where(after <= F.size("list"))
+            .withColumn("start", F.explode(F.sequence(after, F.size("list"), at_most)))
+            .select(
+                *(["block"] if own is not None else []),
+                "u",
+                codes.id(F.col("code")).alias("v"),
+                link.alias("link"),
+                F.slice("list", F.col("start"), at_most).alias("piece"),
+                *[F.slice(name, F.col("start"), at_most).alias("piece_ways") for name in ways],
+            )
         )
+
+    # A list travels once to each block of vertices that some of its own are in, from the first of those on, and meets
+    # the lists of all of these there.
+    sending, to = lists, block
+    if hot is not None:
+        sending = lists.crossJoin(F.broadcast(hot.agg(F.collect_list(codes.code(F.col("id"))).alias("hots"))))
+        to = lambda code: F.when(~F.array_contains("hots", code), block(code))
+    own = F.slice("list", 1, F.size("list") - 1)
+    sent = (
+        sending.where(F.size("list") > 1)
+        .withColumn("places", F.transform(own, to))
+        .withColumn("block", F.explode(F.filter(F.array_distinct("places"), lambda x: x.isNotNull())))
+        .withColumn("first", F.array_position("places", F.col("block")).cast("int"))
+        .select("block", "u", *[F.slice(name, F.col("first"), F.size(name)).alias(name) for name in ("list", *ways)])
+        .repartitionById(blocks, "block")
     )
+    cold = table if hot is None else table.join(F.broadcast(_named(hot, "v")), "v", "left_anti")
+    cold = cold.withColumn("block", block(codes.code(F.col("v")))).repartitionById(blocks, "block")
+    met = pieces(sent, block(F.col("code")) == F.col("block")).join(cold.hint("shuffle_hash"), ["block", "v"]).drop("block")
+    if hot is not None:
+        # A hub has few higher vertices, all of them hubs, so the lists repeated for its parts are short.
+        met = met.unionByName(skew.split_join(pieces(lists, None), table, "v", _named(hot, "v")))
 
     def linked(ids: str, ways: str, kind: str) -> Column:
         return F.filter(ids, lambda _, i: F.get(F.col(ways), i).bitwiseAND(F.lit(_KINDS[kind])) == _KINDS[kind])
@@ -166,10 +200,8 @@ def _common(lists: DataFrame, hot: DataFrame | None, kinds: Sequence[str], codes
     def named(found: Column, name: str) -> Column:
         return F.transform(found, codes.id).alias(name)
 
-    # A hub has few higher vertices, all of them hubs, so the lists repeated for its parts are short.
-    table = lists.select(F.col("u").alias("v"), "list", *ways)
     return (
-        skew.keyed_join(pieces, table, "v", _named(hot, "v"))
+        met
         .withColumn("third", F.array_intersect("piece", "list"))
         .where(F.size("third") > 0)
         .select(
