@@ -74,14 +74,14 @@ def hold(frame: DataFrame) -> DataFrame:
         return frame.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def partition_count(spark: SparkSession, rows: int, worth_a_wait: int | None = None, fitting: int = ROWS_PER_PARTITION) -> int:
+def partition_count(spark: SparkSession, rows: int, worth_a_wait: int | None = None, fitting: int | None = None) -> int:
     """Partitions for a table of ``rows``: one per core, or the session's number of shuffle partitions, as
     far as the size is worth it, by ``worth_a_wait`` rows each; more if ``fitting`` rows would be exceeded in one.
     """
     worth_a_wait = worth_a_wait or ROWS_WORTH_A_WAIT
     idle = min(spark.sparkContext.defaultParallelism, -(-rows // ROWS_WORTH_A_TASK))
     asked = min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // worth_a_wait)
-    return max(1, idle, asked, -(-rows // fitting))
+    return max(1, idle, asked, -(-rows // (fitting or ROWS_PER_PARTITION)))
 
 
 @contextmanager
