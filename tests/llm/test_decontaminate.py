@@ -1,10 +1,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
-from weftgraph.llm import decontaminate as module
+from weftgraph.llm import decontaminate as module, text as tx
 from weftgraph.llm.decontaminate import contamination, decontaminate
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -74,3 +76,36 @@ def test_a_task_holds_little_of_a_large_batch():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found and most < 64 << 20
+
+
+def test_texts_reach_workers_a_few_mb_at_a_time(spark, monkeypatch):
+    """While documents are searched, a task's Python worker holds no batch of more than ``BATCH_BYTES`` or so of texts."""
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, cut = spark.conf.get(key, None), module.cut
+
+    def watched(frame):
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+        texts = docs.select("text").mapInArrow(sizes, "n long")
+        seen.append(texts.agg({"n": "max"}).first()[0])
+        return cut(frame)
+
+    docs = spark.range(0, 3000, numPartitions=1).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 500) as text")
+    items = spark.createDataFrame([("a", "one two three four five six seven eight nine ten")], "item_id string, text string")
+    monkeypatch.setattr(module, "cut", watched)
+    assert decontaminate(docs, items).count() == 3000
+    assert seen[-1] < 2 * tx.BATCH_BYTES < seen[0]
+    assert spark.conf.get(key, None) == before
+
+
+def test_hashing_a_slice_takes_little_memory():
+    batch = pa.RecordBatch.from_arrays([pa.array(["some words of a text " * 100] * 2000)], ["_text"])
+    tracemalloc.start()
+    try:
+        for part in tx.slices(batch, "_text"):
+            module._kept_grams(part.column("_text"), [10], None)
+        assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    finally:
+        tracemalloc.stop()

@@ -245,7 +245,8 @@ def decontaminate(
 ) -> DataFrame:
     """The documents without those that hold a benchmark passage, with all their columns and repeated rows."""
     found = contamination(docs, benchmark, doc=doc, text=text, **options).filter("n_hit > 0")
-    found = cut(found.select(F.col(doc).alias("_hit_doc"), F.col("text_key").alias("_hit_key")))
+    with tx.small_batches(docs.sparkSession):
+        found = cut(found.select(F.col(doc).alias("_hit_doc"), F.col("text_key").alias("_hit_key")))
     if found.limit(BROADCAST_HITS + 1).count() <= BROADCAST_HITS:
         found = F.broadcast(found)
     plain, names = numbered(docs)

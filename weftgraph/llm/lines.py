@@ -92,7 +92,8 @@ def repeated_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
     # Null ids must meet in joins.
     lines = lines.withColumn("_none", F.col("_doc").isNull()).withColumn("_doc", F.coalesce("_doc", F.lit(0).cast(kind)))
     at = ["_none", *_DOC, "unit"]
-    lines = cut(lines.dropDuplicates(at))
+    with tx.small_batches(docs.sparkSession):
+        lines = cut(lines.dropDuplicates(at))
     names = ["high", "low"]
     level = cut(_ranks(lines.select(*at, *names, "windows"), *names))
     windows = level.select(*at, F.explode("windows").alias("length"))

@@ -180,7 +180,8 @@ def near_groups(
     connect, and ``component_id`` its smallest document id. Rows without an id belong to groups like others, and
     a group of such rows only has component null. Repeated rows are kept. Other columns are ignored.
     """
-    rows = cut(fingerprints(docs, doc=doc, text=text, shingle=shingle, seed=seed))
+    with tx.small_batches(docs.sparkSession):
+        rows = cut(fingerprints(docs, doc=doc, text=text, shingle=shingle, seed=seed))
     classes = cut(rows.groupBy(F.col("_fingerprint").alias("v")).agg(F.min("_doc").alias("_least")))
     found = components(links(classes.select("v"), distance, most_compared))
     rooted = classes.join(found, F.col("v") == F.col("id"), "left").select(

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-SLICE_BYTES = 1 << 20
+from weftgraph.operators.runtime import settings
+
+SLICE_BYTES = 1 << 18
 """Text handled at once in a task; a longer text is handled alone. Hashing words takes some 35 times that in memory."""
+BATCH_BYTES = 4 << 20
+"""Rows sent to a task's Python worker at once, where ``small_batches`` holds."""
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -19,6 +25,19 @@ _LOWER[65:91] += 32
 ALNUM = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 
 
+def small_batches(spark: SparkSession):
+    """Whole texts go to Python workers a few MB at a time, in jobs that run while the block does."""
+    return settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES})
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system, which a worker that waits for its next task would keep."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of at most ``size`` bytes of text, or one row."""
     if batch.num_rows == 0:
@@ -30,6 +49,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         end = min(max(end, begin + 1), batch.num_rows)
         yield batch.slice(begin, end - begin)
         begin = end
+    release()
 
 
 def _offsets(column: pa.Array) -> np.ndarray:
