@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from weftgraph import Graph, bfs, cdlp, dangling_count, in_degree, lcc, neighbour_count, out_degree, pagerank, sssp, total_degree, triangles, wcc
 from weftgraph.functions import reduced_by
+from weftgraph.operators.gather import received
 from weftgraph.operators.layout import arranged
 from weftgraph.operators.runtime import cut
 from weftgraph.sources.tables import LINE_NUMBERS, copurchase, copurchase_edges, order_lines
@@ -165,3 +166,18 @@ def test_neighbour_lists_travel_once_to_each_block(spark):
         before = sides.split("shufflepartitionidpassthrough", 1)[0]
         assert before.count("posexplode(list") == 1 and "Sort" not in before and "hashpartitioning" not in before
         assert found.common.agg(F.sum(F.size("third"))).first()[0] == n * (n - 1) * (n - 2) // 6
+
+
+def test_a_label_travels_once_to_each_block(spark):
+    """Not along each edge: what a round of label propagation shuffles is at most a row for each vertex and block."""
+    edges = spark.range(200_000).select((F.col("id") % 97).alias("src"), (F.col("id") * 7 % 101 + 200).alias("dst"))
+    with received(Graph.from_edges(edges).checkpoint(), undirected=True) as laid:
+        assert laid.blocks > 1 and laid.hot is None
+        assert laid.cold.count() == 400_000 and laid.routes.count() <= 198 * laid.blocks
+        state = cut(laid.placed(spark.range(301).select("id", F.col("id").alias("label"))))
+        met = laid.met(state)[0]
+        counted = met.groupBy("block", "dst", "label").agg(F.count(F.lit(1)).alias("n"))
+        found = counted.groupBy("block", F.col("dst").alias("id")).agg(F.max("n"))
+        text = plan(state.join(found, ["block", "id"], "left"))
+    # Labels go to blocks by the one exchange of a round; the others are inside the cached edges and routes, where the edges' is again.
+    assert text.count("Exchange") == 4 and text.count("SortMergeJoin") == 3 and "Broadcast" not in text

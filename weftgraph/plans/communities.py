@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from weftgraph.functions.combine import most_frequent
 from weftgraph.graph import Graph
-from weftgraph.operators.propagate import propagate
+from weftgraph.operators.gather import Received, received
+from weftgraph.operators.runtime import cut, discard
 
 
 def cdlp(graph: Graph, iterations: int) -> DataFrame:
@@ -16,12 +16,31 @@ def cdlp(graph: Graph, iterations: int) -> DataFrame:
     In a directed graph a neighbour linked both ways counts twice. A vertex without neighbours keeps
     its label. Rounds that could change nothing any more are left out.
     """
-    return propagate(
-        graph,
-        graph.vertices.select("id", F.col("id").alias("label")),
-        message=F.col("label"),
-        combine=most_frequent,
-        update={"label": F.coalesce("msg", "label")},
-        direction="all",
-        max_iterations=iterations,
-    )
+    with received(graph, undirected=True) as edges:
+        state = cut(edges.placed(graph.vertices.select("id", F.col("id").alias("label"))))
+        edges.release()
+        for number in range(iterations):
+            watch = Observation()
+            rows = state.select("block", "id", "label")
+            before, state = state, cut(_round(edges, rows, number), watch, changed=F.count_if("_changed"))
+            discard(before)
+            if not watch.get["changed"]:
+                break
+        return state.select("id", "label")
+
+
+def _round(edges: Received, state: DataFrame, number: int) -> DataFrame:
+    # A first label is the sender's id, which its edges have.
+    cold, hot = (edges.cold, edges.hot) if number == 0 else edges.met(state)
+    label = F.col("src" if number == 0 else "label")
+    counted = cold.groupBy("block", "dst", label.alias("given")).agg(F.count(F.lit(1)).alias("times"))
+    best = F.min_by("given", F.struct(-F.col("times"), "given"))
+    found = counted.groupBy("block", F.col("dst").alias("id")).agg(best.alias("msg"))
+    near = state.join(found, ["block", "id"], "left")
+    if hot is not None:
+        # Of a vertex with very many edges each block counts its own, and one best label comes of the sums.
+        counted = hot.groupBy("dst", label.alias("given")).agg(F.count(F.lit(1)).alias("times"))
+        found = counted.groupBy(F.col("dst").alias("id")).agg(best.alias("_hot"))
+        near = near.join(F.broadcast(found), "id", "left").withColumn("msg", F.coalesce("_hot", "msg"))
+    after = F.coalesce("msg", "label")
+    return near.select("block", "id", after.alias("label"), (after != F.col("label")).alias("_changed"))
