@@ -17,30 +17,26 @@ def cdlp(graph: Graph, iterations: int) -> DataFrame:
     its label. Rounds that could change nothing any more are left out.
     """
     with received(graph, undirected=True) as edges:
-        state = cut(edges.placed(graph.vertices.select("id", F.col("id").alias("label"))))
+        first = F.col("dst").alias("id")
+        state = cut(edges.placed(edges.per_receiver.select(first, F.col("dst").alias("label"))))
         edges.release()
-        for number in range(iterations):
+        for _ in range(iterations):
             watch = Observation()
             rows = state.select("block", "id", "label")
-            before, state = state, cut(_round(edges, rows, number), watch, changed=F.count_if("_changed"))
+            before, state = state, cut(_round(edges, rows), watch, changed=F.count_if("_changed"))
             discard(before)
             if not watch.get["changed"]:
                 break
         return state.select("id", "label")
 
 
-def _round(edges: Received, state: DataFrame, number: int) -> DataFrame:
-    # A first label is the sender's id, which its edges have.
-    cold, hot = (edges.cold, edges.hot) if number == 0 else edges.met(state)
-    label = F.col("src" if number == 0 else "label")
-    counted = cold.groupBy("block", "dst", label.alias("given")).agg(F.count(F.lit(1)).alias("times"))
-    best = F.min_by("given", F.struct(-F.col("times"), "given"))
-    found = counted.groupBy("block", F.col("dst").alias("id")).agg(best.alias("msg"))
-    near = state.join(found, ["block", "id"], "left")
+def _round(edges: Received, state: DataFrame) -> DataFrame:
+    found, hot = edges.most_frequent(state), edges.met_hot(state)
+    label = F.col("label")
     if hot is not None:
         # Of a vertex with very many edges each block counts its own, and one best label comes of the sums.
-        counted = hot.groupBy("dst", label.alias("given")).agg(F.count(F.lit(1)).alias("times"))
-        found = counted.groupBy(F.col("dst").alias("id")).agg(best.alias("_hot"))
-        near = near.join(F.broadcast(found), "id", "left").withColumn("msg", F.coalesce("_hot", "msg"))
-    after = F.coalesce("msg", "label")
-    return near.select("block", "id", after.alias("label"), (after != F.col("label")).alias("_changed"))
+        counted = hot.groupBy("dst", "label").agg(F.count(F.lit(1)).alias("times"))
+        best = F.min_by("label", F.struct(-F.col("times"), "label"))
+        found = found.join(F.broadcast(counted.groupBy(F.col("dst").alias("id")).agg(best.alias("_hot"))), "id", "left")
+        label = F.coalesce("_hot", "label")
+    return edges.placed(found.select("id", label.alias("label"), (label != F.col("was")).alias("_changed")))
