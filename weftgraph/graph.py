@@ -19,12 +19,13 @@ class Graph:
 
     With ``directed=False`` the edge table lists every edge in both directions, once each. The
     ``from_*`` constructors bring a table into that form; call the class itself only with tables
-    that have it already.
+    that have it already. ``spanned`` says that the vertices are the ends of the edges and no more.
     """
 
     vertices: DataFrame
     edges: DataFrame
     directed: bool = True
+    spanned: bool = False
 
     @classmethod
     def from_tables(
@@ -60,7 +61,7 @@ class Graph:
     ) -> Graph:
         """A graph whose vertices are the ends of its edges."""
         edges = _edge_table(edges, directed, src, dst, weight)
-        return cls(_ends(edges, directed).distinct(), edges, directed)
+        return cls(_ends(edges, directed).distinct(), edges, directed, True)
 
     @classmethod
     def from_listed(cls, edges: DataFrame, vertices: DataFrame | None = None) -> Graph:
@@ -69,7 +70,7 @@ class Graph:
         ids = _ends(edges, False)
         if vertices is not None:
             ids = vertices.select(_key(vertices, "id").alias("id")).unionByName(ids)
-        return cls(ids.distinct(), edges, False)
+        return cls(ids.distinct(), edges, False, vertices is None)
 
     @property
     def weighted(self) -> bool:
@@ -77,11 +78,11 @@ class Graph:
 
     def map_vertices(self, **columns: Column) -> Graph:
         """Set vertex columns from expressions over the vertex table."""
-        return replace(self, vertices=self.vertices.withColumns(columns))
+        return replace(self, vertices=self.vertices.withColumns(columns), spanned=False)
 
     def map_edges(self, **columns: Column) -> Graph:
         """Set edge columns from expressions over the edge table."""
-        return replace(self, edges=self.edges.withColumns(columns))
+        return replace(self, edges=self.edges.withColumns(columns), spanned=False)
 
     def unweighted(self) -> Graph:
         """The same graph without edge values."""
@@ -119,6 +120,14 @@ class Graph:
             if ours:
                 self.edges.unpersist()
 
+    def ends_written(self) -> Graph:
+        """The graph without edge values, its edge table written to the checkpoint folder; vertices that are the ends of edges
+        are taken from there.
+        """
+        edges = cut(self.edges.select("src", "dst"))
+        vertices = _ends(edges, self.directed).distinct() if self.spanned else self.vertices
+        return replace(self, vertices=vertices, edges=edges)
+
     @contextmanager
     def ends_held(self) -> Iterator[Graph]:
         """The graph without edge values, its edge table cached while the block runs, unless the caller has cached the edges."""

@@ -68,6 +68,26 @@ def discard(*frames: DataFrame) -> None:
             delete(frame.sparkSession, file.get())
 
 
+def written(frame: DataFrame) -> bool:
+    """Whether a table is one that ``cut`` has written, or otherwise exists already."""
+    return frame._jdf.queryExecution().analyzed().nodeName() == "LogicalRDD"
+
+
+def planned(frame: DataFrame) -> DataFrame:
+    """A table planned under the settings of now and computed where it is used, for results larger than what they come of.
+
+    What it has shuffled stays until it is let go of. A second use computes it again from there; ``cut`` it where that is dear.
+    """
+    spark, execution = frame.sparkSession, frame._jdf.queryExecution()
+    rows = execution.toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, execution.analyzed().schema(), False), spark)
+
+
+def shuffles_spent(spark: SparkSession):
+    """Settings under which the shuffle files of a query are deleted at its end, not when the driver next collects garbage."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def hold(frame: DataFrame) -> DataFrame:
     """Cache a table, in as many partitions as its size calls for at run time."""
     with settings(frame.sparkSession, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}):

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from weftgraph.graph import Graph
 from weftgraph.operators import runtime, skew
@@ -67,11 +68,12 @@ class Closed:
     """``degrees(id, degree)`` counts distinct neighbours. ``common`` has a row per linked pair u-v, u the
     lower, and piece of u's list: the vertices ``third`` above both and linked to both, and whether the
     pair is linked ``out`` (u to v) and ``back``, which is only known if kinds are asked for. For each of those,
-    ``u_<kind>`` and ``v_<kind>`` are the ones of ``third`` that u, or v, is linked to in that way.
+    ``u_<kind>`` and ``v_<kind>`` are the ones of ``third`` that u, or v, is linked to in that way. ``vertices(id)`` are all, if asked for.
     """
 
     degrees: DataFrame
     common: DataFrame
+    vertices: DataFrame | None = None
 
 
 @contextmanager
@@ -84,36 +86,54 @@ def closed(graph: Graph, kinds: Sequence[str] = (), *, every_vertex: bool = Fals
     block that it names. They are compared inside that join, so open paths of two edges are never shuffled or sorted. ``every_vertex`` makes partitions enough for a row per vertex as well.
     """
     spark = graph.edges.sparkSession
-    rising = F.col("src") < F.col("dst")
-    if graph.directed:
-        pairs = (
-            graph.edges.where(F.col("src") != F.col("dst"))
-            .groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-            .agg(F.max(rising).alias("a_to_b"), F.max(~rising).alias("b_to_a"))
+    with runtime.shuffles_spent(spark):
+        pairs, vertices = _pairs(graph, every_vertex)
+        degrees = runtime.cut(
+            pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
         )
-    else:
-        # Each pair is listed both ways, so one of them tells all.
-        pairs = graph.edges.where(rising).select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct()
-    pairs = runtime.hold(pairs)
-    degrees = runtime.hold(
-        pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
-    )
-    try:
         ends, most, *range_ = degrees.agg(F.sum("degree"), F.max("degree"), F.min("id"), F.max("id")).first()
         codes = Codes.of(*range_, most)
-        rows = max(ends or 0, graph.vertices.count() if every_vertex else 0)
-        partitions = runtime.partition_count(spark, rows)
+        partitions = runtime.partition_count(spark, max(ends or 0, vertices.count() if every_vertex else 0))
         blocks = runtime.partition_count(spark, ends or 0, 2 * BLOCK_LINKS, 2 * BLOCK_LINKS)
         limit = skew.hot_threshold(ends or 0, partitions)
         hot = None
         if (most or 0) > limit:
             hot = runtime.cut(skew.hot_keys(degrees, "id", "degree", limit))
         with runtime.settings(spark, {"spark.sql.shuffle.partitions": partitions}):
-            with runtime.settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):
-                yield Closed(degrees, _common(_lists(pairs, degrees, hot, kinds, codes), hot, kinds, codes, blocks))
-    finally:
-        pairs.unpersist()
-        degrees.unpersist()
+            lists = runtime.cut(_lists(pairs, degrees, hot, kinds, codes))
+            runtime.discard(pairs)
+    with runtime.settings(spark, {"spark.sql.shuffle.partitions": partitions}):
+        with runtime.settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):
+            yield Closed(degrees, _common(lists, hot, kinds, codes, blocks), vertices)
+
+
+def _pairs(graph: Graph, every_vertex: bool) -> tuple[DataFrame, DataFrame | None]:
+    """``(a, b[, a_to_b, b_to_a])``, a row for every two linked vertices, a < b, and all vertices if those are asked for.
+
+    Both are written, one after the other, so that what one has shuffled is gone when the next shuffles.
+    """
+    cached = graph.edges.storageLevel != StorageLevel.NONE
+    rising = F.col("src") < F.col("dst")
+
+    def found(edges: DataFrame) -> DataFrame:
+        if not graph.directed:
+            # Each pair is listed both ways, so one of them tells all.
+            return runtime.cut(edges.where(rising).select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct())
+        pairs = edges.where(F.col("src") != F.col("dst")).groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+        return runtime.cut(pairs.agg(F.max(rising).alias("a_to_b"), F.max(~rising).alias("b_to_a")))
+
+    if not every_vertex:
+        if cached or runtime.written(graph.edges) or not graph.directed:
+            return found(graph.edges), None
+    elif cached or not graph.spanned:
+        # Vertices may be derived from the edges too, which the cache gives then.
+        with graph.ends_held() as held:
+            return found(held.edges), runtime.cut(held.vertices.select("id"))
+    graph = graph.ends_written()
+    vertices = runtime.cut(graph.vertices.select("id")) if every_vertex else None
+    pairs = found(graph.edges)
+    runtime.discard(graph.edges)
+    return pairs, vertices
 
 
 def _named(hot: DataFrame | None, key: str) -> DataFrame | None:
@@ -125,7 +145,8 @@ def _lists(pairs: DataFrame, degrees: DataFrame, hot: DataFrame | None, kinds: S
     for the ways in which each is linked.
     """
     for end in ("a", "b"):
-        table = degrees.select(F.col("id").alias(end), F.col("degree").alias(f"degree_{end}"))
+        # A partition's degrees are few next to its pairs, which are not sorted then.
+        table = degrees.select(F.col("id").alias(end), F.col("degree").alias(f"degree_{end}")).hint("shuffle_hash")
         pairs = skew.keyed_join(pairs, table, end, _named(hot, end))
 
     def ways(out: str, back: str) -> Column:
@@ -221,7 +242,7 @@ def triangles(graph: Graph) -> DataFrame:
     with closed(graph) as found:
         corners = found.common.select("u", "v", F.explode("third").alias("w"))
         ordered = corners.select(F.sort_array(F.array("u", "v", "w")).alias("t"))
-        return runtime.cut(ordered.select(*[F.col("t")[i].alias(c) for i, c in enumerate("abc")]))
+        return runtime.planned(ordered.select(*[F.col("t")[i].alias(c) for i, c in enumerate("abc")]))
 
 
 def triangle_count(graph: Graph) -> DataFrame:
@@ -285,4 +306,4 @@ def corner_edges(graph: Graph) -> DataFrame:
             rows("v_out", "u", "v", "w"),
             rows("v_back", "u", "w", "v"),
         )
-        return runtime.cut(present.select(F.inline(turns)))
+        return runtime.planned(present.select(F.inline(turns)))

@@ -17,13 +17,11 @@ def lcc(graph: Graph) -> DataFrame:
     neighbours get 0. In an undirected graph both directions exist, which is the usual
     2 * triangles / (d * (d - 1)).
     """
-    # Vertices may be derived from the edges, which are needed twice then.
-    with graph.ends_held() as held, closed(held, ("mutual",) if graph.directed else (), every_vertex=True) as found:
+    with closed(graph, ("mutual",) if graph.directed else (), every_vertex=True) as found:
         d = F.col("degree")
         share = F.coalesce("links", F.lit(0)) / (d * (d - 1))
         return runtime.cut(
-            held.vertices.select("id")
-            .join(found.degrees, "id", "left")
+            found.vertices.join(found.degrees, "id", "left")
             .join(linked_neighbours(found, graph.directed), "id", "left")
             .select("id", F.when(d > 1, share).otherwise(F.lit(0.0)).alias("coefficient"))
         )
