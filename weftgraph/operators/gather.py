@@ -18,7 +18,7 @@ from pyspark.storagelevel import StorageLevel
 from weftgraph.graph import Graph, both_ways
 from weftgraph.operators import packed, runtime, skew
 
-# Edges of a block at most, on average: a task holds them, in about 60 bytes each.
+# Edges of a block at most, on average: a task holds them, in about 100 bytes each.
 BLOCK_EDGES = 4_000_000
 
 
